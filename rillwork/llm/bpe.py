@@ -202,9 +202,10 @@ def encode(df: DataFrame, id_: str, text: str, vocabulary: str = DEFAULT_VOCABUL
     ids_schema = pa.schema([("block", pa.int64()), ("num", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), schema=pa.schema([("block", pa.int64()), ("num", pa.int32()), ("word", pa.binary())]))
-        if not rows.num_rows:
+        held = [b for b in batches if b.num_rows]
+        if not held:
             return
+        rows = pa.Table.from_batches(held)
         d = rows.column("word").combine_chunks().dictionary_encode()
         flat, offsets = replay(d.dictionary.to_pylist(), Merges(table.value))
         pick = d.indices.to_numpy(zero_copy_only=False)

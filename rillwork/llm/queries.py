@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillwork.llm import bpe, components
+from rillwork.llm import bpe, components, leaks, residue
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -21,4 +21,14 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p7_ids)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with the test items they give away."""
+    return leaks.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pages with open template fields, or made of filler, error messages or script notices."""
+    return residue.residue_pages(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p7_ids, p8_found, p9_found)}
