@@ -3,14 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rillwork.llm import bpe, components, leaks, residue
+from rillwork.llm import bpe, components, leaks, matching, residue
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Watercourses without an osm_id and their relations."""
+    return p4_matches(spark, d).select("id", "rel_osm_id")
+
+
+def p4_matches(spark: SparkSession, d: str) -> DataFrame:
+    """The matches with their confidence."""
+    m = matching.match_watercourses(table(spark, d, "fin_wikidata_waterways_ru"), table(spark, d, "osm_relations"), table(spark, d, "osm_ways"))
+    return m.withColumn("confidence", F.round("confidence", 6))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Every graph node with the identifier of its water network."""
     return components.link_groups(table(spark, d, "graph_nodes_stat"), "pnt_osm_id", "way_osm_id")
@@ -31,4 +43,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue_pages(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p7_ids, p8_found, p9_found)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_matches, p6_found, p7_ids, p8_found, p9_found)}
