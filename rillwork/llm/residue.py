@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillwork.llm import pages
+from rillwork.runtime import materialize
 
 FIT_TRUSTED = 3000
 FIT_UNLABELLED = 3000
@@ -164,6 +165,10 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
     spark = docs.sparkSession
     src = docs.select(F.col(id_).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null and length(trim(text)) > 0")
 
+    # Only records below a hash cut enter, so that what all tasks hold together is bounded too.
+    total = max(1, docs.count())
+    cuts = {False: 4 * FIT_UNLABELLED / total * 2**32, True: 200 * FIT_TRUSTED / total * 2**32}
+
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The trusted and unlabelled records with the smallest hashes of each task.
         import heapq
@@ -175,7 +180,7 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
                 h = zlib.crc32(str(i).encode())
                 # Whether a record is trusted is looked up only where it may be kept.
                 for kind, most in ((False, FIT_UNLABELLED), (True, FIT_TRUSTED)):
-                    if kind and not has_seed(t):
+                    if h >= cuts[kind] or (kind and not has_seed(t)):
                         continue
                     heap = keep[kind]
                     if len(heap) < most or -heap[0][0] > h:
@@ -185,10 +190,8 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["trusted", "h", "text"])
 
     sample = src.mapInArrow(mark, "trusted boolean, h bigint, text string")
-    pick = lambda k, n: [r.text for r in sample.where(F.col("trusted") == k).orderBy("h", "text").limit(n).collect()]
-    from rillwork.runtime import materialize
-
     sample = materialize(sample, "fit-sample")
+    pick = lambda k, n: [r.text for r in sample.where(F.col("trusted") == k).orderBy("h", "text").limit(n).collect()]
     model = spark.sparkContext.broadcast(Model.fit(pick(True, FIT_TRUSTED), pick(False, FIT_UNLABELLED)))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
