@@ -6,7 +6,11 @@ with the largest ``shift - distance``. ROUNDS steps of growth are taken per leve
 (a vertex reached later simply keeps the centre it has; any centre it holds is in its
 own component, so stopping early is exact). Clusters are contracted to super-vertices,
 edges inside a cluster vanish, the rest is solved on the next level, and the
-assignments of all levels are composed from the last to the first.
+assignments of all levels are composed from the last to the first. The shifts are large
+enough for a level to leave about a tenth of the edges, also of long chains.
+
+A vertex that many links share is split first into parts that are tied to it, so no join
+of the first level has a hot key; each level's input is a fraction of the last.
 
 Each super-vertex carries the smallest label below it, so the group's identifier comes
 out of the contraction, without grouping the rows of a component anywhere.
@@ -17,11 +21,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillwork.runtime import materialize, release, spread_join
+from rillwork.runtime import SALTS, hot_keys, materialize, release, spread_join
 
 #: Rate of the exponential shifts; larger means smaller clusters.
-BETA = 0.6
-ROUNDS = 3
+BETA = 0.1
+ROUNDS = 6
 
 
 def _shift(v: Column, level: int) -> Column:
@@ -31,15 +35,15 @@ def _shift(v: Column, level: int) -> Column:
 
 def _grow(edges: DataFrame, level: int) -> DataFrame:
     """``v, c``: the centre of every vertex with an edge. edges: both directions, ``u, v``."""
+    own = lambda v: F.struct(_shift(v, level).alias("s"), v.alias("c"))
     # First step: all centres are at their own vertex, so no join is needed.
     lab = edges.groupBy("v").agg(F.max(F.struct((_shift(F.col("u"), level) - 1).alias("s"), F.col("u").alias("c"))).alias("b"))
-    own = lambda v: F.struct(_shift(v, level).alias("s"), v.alias("c"))
     lab = lab.select("v", F.greatest("b", own(F.col("v"))).alias("b"))
-    for r in range(1, ROUNDS):
-        lab = materialize(lab, f"grow{r}")
-        pushed = spread_join(edges, lab.select(F.col("v").alias("u"), "b"), ["u"])
-        best = pushed.groupBy("v").agg(F.max(F.struct((F.col("b.s") - 1).alias("s"), F.col("b.c").alias("c"))).alias("n"))
-        lab = lab.join(best, "v").select("v", F.greatest("b", "n").alias("b"))
+    for _ in range(1, ROUNDS):
+        # What a vertex has and what its neighbours offer, one step further away.
+        held = lab.select("v", "b")
+        offers = edges.join(lab.withColumnRenamed("v", "u"), "u").select("v", F.struct((F.col("b.s") - 1).alias("s"), F.col("b.c").alias("c")).alias("b"))
+        lab = offers.unionByName(held).groupBy("v").agg(F.max("b").alias("b"))
     return lab.select("v", F.col("b.c").alias("c"))
 
 
@@ -60,13 +64,11 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
     both = materialize(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
     first, levels, level = verts, [], 0
     while not both.isEmpty():
-        grown = materialize(_grow(both, level), "clusters")
         # Vertices without an edge stay their own cluster.
-        assign = materialize(verts.join(grown, "v", "left").select("v", F.coalesce("c", "v").alias("c"), "label"), "assign")
-        up = spread_join(both, assign.select(F.col("v").alias("u"), F.col("c").alias("cu")), ["u"])
-        up = spread_join(up.select("cu", "v"), assign.select("v", F.col("c").alias("cv")), ["v"])
+        assign = materialize(verts.join(_grow(both, level), "v", "left").select("v", F.coalesce("c", "v").alias("c"), "label"), "assign")
+        up = both.join(assign.select(F.col("v").alias("u"), F.col("c").alias("cu")), "u").join(assign.select("v", F.col("c").alias("cv")), "v")
         nxt = materialize(up.where("cu <> cv").select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct(), "edges")
-        release(both, grown)
+        release(both)
         both = nxt
         verts = materialize(assign.groupBy("c").agg(F.min("label").alias("label")).withColumnRenamed("c", "v"), "verts")
         levels.append(assign)
@@ -75,8 +77,8 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
         return first.select("v", F.col("label").alias("group_id"))
     final = verts.select("v", F.col("label").alias("group_id"))
     for assign in reversed(levels):
-        # Hot centres are possible only here; spread_join splits them.
-        final = spread_join(assign.select("v", "c"), final.withColumnRenamed("v", "c"), ["c"]).select("v", "group_id")
+        final = spread_join(assign.select("v", "c"), final.withColumnRenamed("v", "c"), ["c"]).select("v", "group_id") if assign is levels[0] else (
+            assign.select("v", "c").join(final.withColumnRenamed("v", "c"), "c").select("v", "group_id"))
     return final
 
 
@@ -84,12 +86,21 @@ def link_groups(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """Groups of a two-sided link table: ``left`` column's ids with the smallest ``right`` id of their group.
 
     Both sides have their own id space. Rows with a null key on either side are no link;
-    repeated rows count once; other columns are not read.
+    repeated rows count once; other columns are not read. Ids lie within +-2**54.
     """
     p = pairs.select(F.col(left).cast("bigint").alias("a"), F.col(right).cast("bigint").alias("b")).dropna().distinct()
-    a = F.shiftleft(F.col("a"), 1)
-    b = F.shiftleft(F.col("b"), 1) + 1
-    edges = p.select(a.alias("u"), b.alias("v"))
-    labels = p.select(b.alias("v"), F.col("b").alias("label")).distinct()
+    key = lambda c, kind: F.shiftleft(c, 3) + kind
+    # The part of a hot vertex that a link uses follows from the link's other end.
+    part = lambda c, other, kind: F.shiftleft(F.shiftleft(c, 5) + F.pmod(F.xxhash64(other), F.lit(SALTS)), 3) + kind
+    hot_a, hot_b = (hot_keys(p, [c]).withColumnRenamed("__hot", f"hot_{c}") for c in "ab")
+    p = p.join(F.broadcast(hot_a), "a", "left").join(F.broadcast(hot_b), "b", "left")
+    u, v = key(F.col("a"), 0), key(F.col("b"), 1)
+    pu = F.when(F.col("hot_a"), part(F.col("a"), F.col("b"), 2)).otherwise(u)
+    pv = F.when(F.col("hot_b"), part(F.col("b"), F.col("a"), 3)).otherwise(v)
+    ties = F.array_compact(F.array(
+        F.struct(pu.alias("u"), pv.alias("v")),
+        F.when(F.col("hot_a"), F.struct(u.alias("u"), pu.alias("v"))), F.when(F.col("hot_b"), F.struct(v.alias("u"), pv.alias("v")))))
+    edges = p.select(F.explode(ties).alias("e")).select("e.u", "e.v")
+    labels = p.select(v.alias("v"), F.col("b").alias("label"))
     got = components(edges, labels)
-    return got.where("v % 2 = 0").select(F.shiftright("v", 1).alias(left), F.col("group_id"))
+    return got.where("v & 7 = 0").select(F.shiftright("v", 3).alias(left), F.col("group_id"))
