@@ -88,22 +88,26 @@ def _quietly(spark: SparkSession, path: str) -> None:
         pass
 
 
-def spread_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Many-to-one equi-join that survives a key holding a third of ``big``.
-
-    Keys with more than 1/HOT_SHARE of the rows of ``big`` are split into
-    SALTS parts by a hash of the whole row, and only those rows of ``small`` are
-    replicated. There are always fewer than HOT_SHARE such keys, so the list of
-    hot keys has a proven size bound and is broadcast. ``how``: inner, left,
-    left_semi or left_anti. Null keys never match, as in SQL.
-    """
+def hot_keys(big: DataFrame, on: list[str]) -> DataFrame:
+    """Keys with more than 1/HOT_SHARE of the rows of ``big``: fewer than HOT_SHARE rows, whatever the input."""
     total = big.agg(F.count("*").alias("__n"))
-    hot = (
+    return (
         big.select(*on).dropna(subset=on).groupBy(*on).agg(F.count("*").alias("__c"))
         .crossJoin(F.broadcast(total))  # one row
         .where(F.col("__c") * HOT_SHARE > F.greatest(F.col("__n"), F.lit(HOT_SHARE * SALTS)))
         .select(*on, F.lit(True).alias("__hot"))
     )
+
+
+def spread_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
+    """Many-to-one equi-join that survives a key holding a third of ``big``.
+
+    Hot keys are split into SALTS parts by a hash of the whole row, and only those rows
+    of ``small`` are replicated. The list of hot keys has a proven size bound (see
+    :func:`hot_keys`) and is broadcast; ``hot`` gives it when it is known already. ``how``:
+    inner, left, left_semi or left_anti. Null keys never match, as in SQL.
+    """
+    hot = hot_keys(big, on) if hot is None else hot
     salt = F.pmod(F.xxhash64(*[c for c, t in big.dtypes if not t.startswith("map")]), F.lit(SALTS)).cast("int")
     left = big.join(F.broadcast(hot), on, "left").withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0))).drop("__hot")
     right = (
