@@ -32,11 +32,11 @@ MIN_WORDS = 12
 #: Anchors in each window of MIN_WORDS words.
 ANCHORS = 12
 #: Anchors that have to agree, by how many words their places may differ from one to the next,
-#: and how many words of the item they have to span.
-AGREE, DRIFT, SPAN = 3, 3, 5
+#: and how many words of the item have to lie between the first and the last.
+AGREE, DRIFT, SPAN = 3, 3, 3
 #: Sum of log(pages / pages with the phrase) that agreeing anchors have to reach, so that common
 #: turns of phrase don't make a candidate.
-WEIGHT = 25.0
+WEIGHT = 34.0
 #: Share of a run's words that must be read exactly (after folding).
 EXACT = 0.55
 #: Largest advert, in words, that may stand between two words of a passage.
@@ -108,7 +108,8 @@ def choose_anchors(items: Items, df: dict[int, int], n_docs: int) -> tuple[np.nd
     keep: set[tuple[int, int, int]] = set()
     by_item: dict[int, list] = defaultdict(list)
     for k, i, p in zip(key.tolist(), item.tolist(), pos.tolist()):
-        by_item[i].append((p, df.get(k, 0), k))
+        if k in df:  # a phrase that stands nowhere can't lead anywhere
+            by_item[i].append((p, df[k], k))
     for i, ps in by_item.items():
         ps.sort()
         at = [p for p, _, _ in ps]
@@ -118,7 +119,7 @@ def choose_anchors(items: Items, df: dict[int, int], n_docs: int) -> tuple[np.nd
             for _, k, p in sorted(inside)[:ANCHORS]:
                 keep.add((k, i, p))
     rows = np.array(sorted(keep), np.int64).reshape(-1, 3)
-    weight = np.log(max(n_docs, 1) / np.array([max(1, df.get(k, 0)) for k in rows[:, 0].tolist()], float)) if len(rows) else np.zeros(0)
+    weight = np.log(max(n_docs, 1) / np.array([df[k] for k in rows[:, 0].tolist()], float)) if len(rows) else np.zeros(0)
     return rows[:, 0], rows[:, 1], rows[:, 2], weight
 
 
@@ -222,20 +223,20 @@ def aligned(item: list[str], doc: list[str], starts: np.ndarray) -> tuple[int, i
         return None
 
     def jump(i: int, j: int) -> tuple[int, int] | None:
-        """Continue behind an advert: three words of the item in a row (or all that are left)."""
+        """Continue behind an advert: three words of the item in a row (or all that are left), one of them exact."""
         k = min(3, n - i)
         if k < 2:
             return None
-        for x in range(j, min(m, j + ADVERT)):
-            if same(item[i], doc[x]) or (x + 1 < m and same(item[i], doc[x] + doc[x + 1])):
-                a, b = i, x
-                while a < i + k:
-                    nx = step(a, b)
-                    if nx is None:
-                        break
-                    a, b = nx
-                if a >= i + k:
-                    return i, x
+        places = {x - o for o in range(k) for x in where.get(item[i + o], ()) if j <= x - o < j + ADVERT}
+        for x in sorted(places):
+            a, b = i, x
+            while a < i + k:
+                nx = step(a, b)
+                if nx is None:
+                    break
+                a, b = nx
+            if a >= i + k:
+                return i, x
         return None
 
     for i0, w in enumerate(item):
