@@ -1,15 +1,16 @@
 """Template residue, filler, error pages and script notices.
 
-Two findings make a record a case. (1) A template field left open in its own text, told
-by its delimiters and not standing in quotation marks. (2) A record that consists of
-filler, error messages or script notices, decided by a naive Bayes model over words that
-is fitted by expectation-maximization from positive and unlabelled records: trusted
-records (mostly made of the seed phrases) are positive, all others start as unlabelled
-and get their own probabilities. Every passage (line) of a record is scored; the record
-is a case when passages with most of its words, a title above them aside, are positive.
-
-The fit takes bounded, hash-chosen samples of trusted and of unlabelled records
-(FIT_TRUSTED, FIT_UNLABELLED); the scores and decisions cover every record whole.
+A naive Bayes model over words is fitted by expectation-maximization from positive and
+unlabelled records. Positive are trusted records: those mostly made of the seed phrases
+(error messages, filler, script notices) with all their passages, and those with several
+open template fields with these fields. All others start as unlabelled and get their own
+probabilities. Passages of a record are its lines and, cut out of them, its template
+fields; every passage is scored. A record is a case when one of its fields is positive
+(one left-over field is enough), or when passages with most of its words, a title above
+them aside, are. Fields in quotation marks are talk about fields and no passages.
+
+The fit takes bounded, hash-chosen samples of each kind (FIT_TRUSTED, FIT_UNLABELLED);
+the scores and decisions cover every record whole.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ UNSEEN = -0.7
 #: Share of a record's words in positive passages, its title aside, that makes it a case.
 SHARE = 0.5
 #: Log odds of a passage or word count at most this much, and a record has to reach MARGIN.
-CLIP, MARGIN = 8.0, 2.0
+CLIP, MARGIN = 8.0, 1.0
 #: Lines above the first positive one that may be the title.
 TITLE_LINES = 2
 
@@ -46,6 +47,12 @@ SEEDS = (
     "xxx xxx", "asdf asdf", "qwer qwer", "фыва фыва", "йцук йцук", "bla bla", "test test", "abc abc", "тест тест",
 )
 
+# Fields that stand for a trusted placeholder record where a corpus has none.
+SEED_FIELDS = (
+    "{{title}} {{ title }} {{{title}}} {{page.title|upper}} {title} ${title} #{title} {% title %} <%= title %> [[title]] [[ title ]] <<title>> %(title)s %title% $title$ "
+    "@@title@@ __title__ &lt;title&gt; [insert headline] <insert headline> {insert headline} [your text here] <your text here> [name] <name> [date] <date>"
+)
+
 _DOUBLE = r"\{\{|\}\}|\{%|%\}|<%|%>|\[\[|\]\]|<<|>>|\$\{|#\{|@@|%\(\w"
 _SINGLE = (
     r"\{[^\W\d_][\w .'’|-]{1,40}\}|\[[^\W\d_][^\[\]{}<>]{2,40}\]|<[^\W\d_][^<>\[\]{}]{2,40}>"
@@ -54,37 +61,51 @@ _SINGLE = (
 _NUMBER = re.compile(r"\S*[0-9]\S*")
 _FIELD = re.compile(f"{_DOUBLE}|{_SINGLE}")
 _DELIM = re.compile(r"[{}\[\]<>%$#@&]|__")
+_NAME = re.compile(r"[^\n{}\[\]<>%$#@&]{0,30}")
+_CLOSE = re.compile(r"[\"'«»“”„‟‘’‚‹›`]")
 _QUOTED = re.compile(r"[\"'«»“”„‟‘’‚‹›`]\s*[\[{<%$#@_&(]*$")
 
 
-def open_field(text: str) -> bool:
-    """Has the text a template field that isn't quoted?"""
+def fields(text: str) -> list[list[str]]:
+    """Words of each template field that isn't quoted: its delimiters as one word, then the folded words behind."""
     if _DELIM.search(text) is None:
-        return False
+        return []
     flat = re.sub(r"[-­¬=~‐–]?\s*\n\s*", " ", text) if "\n" in text else text
+    out = []
     seen = 0  # end of the last quoted field
     for m in _FIELD.finditer(flat):
         if m.start() < seen:
             continue
         if _QUOTED.search(flat[max(0, m.start() - 6) : m.start()]):
-            close = re.compile(r"[\"'«»“”„‟‘’‚‹›`]").search(flat, m.end())
+            close = _CLOSE.search(flat, m.end())
             seen = close.end() if close and close.start() - m.end() < 60 else m.end()
             continue
-        return True
-    return False
+        body = m.group()
+        name = _NAME.match(flat, m.end()).group() if len(body) <= 3 else body
+        out.append(["\x01" + re.sub(r"[\w\s.'’|-]+", "_", body), *pages.fold(name.replace("_", " ")).split()[:2]])
+    return out
+
+
+def open_field(text: str) -> bool:
+    """Has the text a template field that isn't quoted?"""
+    return bool(fields(text))
 
 
 def has_seed(text: str) -> bool:
     return any(map(text.lower().__contains__, SEEDS))
 
 
-def trusted(text: str) -> bool:
-    """Is at least half of the lines, or are at least three of them, made of seed phrases?"""
-    if not has_seed(text):
-        return False
-    lines = [s for s in text.split("\n") if s.strip()]
-    hits = sum(map(has_seed, lines))
-    return hits * 2 >= len(lines) > 0 or hits >= 3
+UNLABELLED, TRUSTED, PLACEHOLDER = range(3)
+
+
+def kind_of(text: str) -> int:
+    """TRUSTED: at least half of the lines, or three of them, hold seed phrases; PLACEHOLDER: two open fields or more."""
+    if has_seed(text):
+        lines = [s for s in text.split("\n") if s.strip()]
+        hits = sum(map(has_seed, lines))
+        if hits * 2 >= len(lines) > 0 or hits >= 3:
+            return TRUSTED
+    return PLACEHOLDER if len(fields(text)) > 1 else UNLABELLED
 
 
 def _passages(text: str) -> list[list[str]]:
@@ -107,49 +128,66 @@ class Model:
         self.odds = odds
 
     @staticmethod
-    def fit(positive: list[str], unlabelled: list[str]) -> "Model":
+    def fit(records: list[tuple[int, str]]) -> "Model":
+        """records: (kind, text)."""
         vocab: dict[str, int] = {}
         flat: list[int] = []
         row: list[int] = []  # passage of each word
         record: list[int] = []  # record of each passage
-        for r, t in enumerate(positive + unlabelled):
-            for ws in _passages(t):
+        is_field: list[bool] = []
+        records = sorted([*records, (PLACEHOLDER, SEED_FIELDS)], key=lambda r: r[0])
+        for r, (kind, t) in enumerate(records):
+            found = fields(t)
+            # The other text of a record with placeholders is neither.
+            for ws, f in [(ws, False) for ws in (_passages(t) if kind != PLACEHOLDER else [])] + [(ws, True) for ws in found]:
                 flat.extend(vocab.setdefault(w, len(vocab)) for w in ws)
                 row.extend([len(record)] * len(ws))
                 record.append(r)
-        if not vocab or not positive:
-            return Model({})
-        w, row_, rec, v = np.array(flat), np.array(row), np.array(record), len(vocab)
-        n_rec = len(positive) + len(unlabelled)
-        label = np.arange(n_rec) < len(positive)
-        first = np.searchsorted(rec, np.arange(n_rec))
-        p = label.astype(float)
-        odds = np.zeros(v)
-        n = np.bincount(w, minlength=v)
+                is_field.append(f)
+        w, row_, rec, field, v = np.array(flat), np.array(row), np.array(record), np.array(is_field), len(vocab)
+        n_rec = len(records)
+        label = np.array([k != UNLABELLED for k, _ in records])
+        fixed = label[rec]
+        p = fixed.astype(float)
+        order = np.flatnonzero(~field)  # lines, in the order of their records
+        n_lines = np.bincount(rec[order], minlength=n_rec)
+        first = np.concatenate([[0], np.cumsum(n_lines)[:-1]])
+        odds, n = np.zeros(v), np.bincount(w, minlength=v)
+        logit = lambda x: float(np.log(x / (1 - x)))
+        sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -50, 50)))
         for _ in range(EM_STEPS):
-            q = p[rec][row_]
+            q = p[row_]
             a, b = np.bincount(w, q, v), np.bincount(w, 1 - q, v)
             odds = np.clip(np.log((a + 0.05) / (a.sum() + 0.05 * v)) - np.log((b + 0.05) / (b.sum() + 0.05 * v)), -CLIP, CLIP)
             odds = np.where(n < 2, np.minimum(odds, 0.5), odds)
             score = np.clip(np.bincount(row_, odds[w], len(rec)), -CLIP, CLIP)
-            # Title lines don't count against a record.
-            keep = np.ones(len(rec))
+            # Lines get the probability of their record, whose title doesn't count against it.
+            line = score[order]
+            keep = np.ones(len(line))
+            above = np.ones(n_rec, bool)
             for k in range(TITLE_LINES):
-                at = first + k
-                ok = (at + 1 < len(rec)) & (np.bincount(rec, minlength=n_rec) > k + 1)
-                title = at[ok][score[at[ok]] <= 0]
-                keep[title if k == 0 else title[keep[title - 1] == 0]] = 0
-            total = np.bincount(rec, score * keep, n_rec)
-            rate = float(np.clip(p[~label].mean() if (~label).any() else 0.5, 1e-3, 0.5))
-            p = np.where(label, 1.0, 1 / (1 + np.exp(-np.clip(total + np.log(rate / (1 - rate)), -50, 50))))
+                r = np.flatnonzero(above & (n_lines > k + 1))
+                r = r[line[first[r] + k] <= 0]
+                keep[first[r] + k] = 0
+                above = np.isin(np.arange(n_rec), r)
+            total = np.bincount(rec[order], line * keep, n_rec)
+            whole = p[order][~fixed[order]]
+            rate = float(np.clip(whole.mean() if len(whole) else 0.5, 1e-3, 0.5))
+            post = sigmoid(total + logit(rate))
+            # Fields have their own.
+            loose = field & ~fixed
+            f_rate = float(np.clip(p[loose].mean(), 0.05, 0.5)) if loose.any() else 0.5
+            p = np.where(fixed, 1.0, np.where(field, sigmoid(score + logit(f_rate)), post[rec]))
         return Model(dict(zip(vocab, odds.tolist())))
 
     def case(self, text: str) -> bool:
-        """Does the record consist of positive passages, its title aside?"""
+        """Has the record a positive field, or does it consist of positive passages, its title aside?"""
+        get = self.odds.get
+        if any(sum([get(w, UNSEEN) for w in ws]) > 0 for ws in fields(text)):
+            return True
         rows = _passages(text)
-        if not rows or not self.odds:
+        if not rows:
             return False
-        get = self.odds.get
         scores = [max(-CLIP, min(CLIP, sum([get(w, UNSEEN) for w in ws]))) for ws in rows]
         skip = _body(scores)
         good = sum(len(ws) for ws, x in zip(rows[skip:], scores[skip:]) if x > 0)
@@ -160,44 +198,42 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
     """Ids of records with an open template field, or that consist of filler, errors or script notices.
 
     Null, empty and blank texts are no case. Long texts are read whole, repeated ids give
-    one row, other columns are not read. Without any trusted record only fields are found.
+    one row, other columns are not read.
     """
     spark = docs.sparkSession
     src = docs.select(F.col(id_).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null and length(trim(text)) > 0")
 
     # Only records below a hash cut enter, so that what all tasks hold together is bounded too.
     total = max(1, docs.count())
-    cuts = {False: 4 * FIT_UNLABELLED / total * 2**32, True: 200 * FIT_TRUSTED / total * 2**32}
+    bound = {UNLABELLED: FIT_UNLABELLED, TRUSTED: FIT_TRUSTED, PLACEHOLDER: FIT_TRUSTED}
+    cut = {k: (4 if k == UNLABELLED else 200) * n / total * 2**32 for k, n in bound.items()}
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The trusted and unlabelled records with the smallest hashes of each task.
+        # The records of each kind with the smallest hashes of each task.
         import heapq
         import zlib
 
-        keep: dict[bool, list] = {True: [], False: []}
+        keep: dict[int, list] = {k: [] for k in bound}
         for b in batches:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = zlib.crc32(str(i).encode())
-                # Whether a record is trusted is looked up only where it may be kept.
-                for kind, most in ((False, FIT_UNLABELLED), (True, FIT_TRUSTED)):
-                    if h >= cuts[kind] or (kind and not has_seed(t)):
-                        continue
-                    heap = keep[kind]
-                    if len(heap) < most or -heap[0][0] > h:
-                        if trusted(t) == kind:
-                            (heapq.heappush if len(heap) < most else heapq.heapreplace)(heap, (-h, i, t))
+                if h >= cut[TRUSTED] or (h >= cut[UNLABELLED] and not has_seed(t) and _DELIM.search(t) is None):
+                    continue
+                kind = kind_of(t)
+                heap = keep[kind]
+                if h < cut[kind] and (len(heap) < bound[kind] or -heap[0][0] > h):
+                    (heapq.heappush if len(heap) < bound[kind] else heapq.heapreplace)(heap, (-h, i, t))
         rows = [(k, -h, t) for k, heap in keep.items() for h, _, t in heap]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["trusted", "h", "text"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["kind", "h", "text"])
 
-    sample = src.mapInArrow(mark, "trusted boolean, h bigint, text string")
-    sample = materialize(sample, "fit-sample")
-    pick = lambda k, n: [r.text for r in sample.where(F.col("trusted") == k).orderBy("h", "text").limit(n).collect()]
-    model = spark.sparkContext.broadcast(Model.fit(pick(True, FIT_TRUSTED), pick(False, FIT_UNLABELLED)))
+    sample = materialize(src.mapInArrow(mark, "kind int, h bigint, text string"), "fit-sample")
+    records = [(k, r.text) for k, n in bound.items() for r in sample.where(F.col("kind") == k).orderBy("h", "text").limit(n).collect()]
+    model = spark.sparkContext.broadcast(Model.fit(records))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
-            ids = [i for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if open_field(t) or m.case(t)]
+            ids = [i for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if m.case(t)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], names=["doc_id"])
 
     return src.mapInArrow(decide, "doc_id bigint").distinct().withColumnRenamed("doc_id", id_)
