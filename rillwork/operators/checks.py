@@ -96,24 +96,24 @@ def missing_segments(ways: DataFrame, areas: DataFrame, stats: DataFrame, agg: D
     return j.groupBy("in_osm_id").agg(F.min(best).alias("b")).select("in_osm_id", "b.wa_osm_id", "b.out_osm_id", "b.geom")
 
 
-def nearest_lines(points: DataFrame, lines: DataFrame, admissible, side: int, rings: int = 14) -> DataFrame:
+def nearest_lines(points: DataFrame, lines: DataFrame, admissible, side: int, rings: int = 8) -> DataFrame:
     """Nearest admissible line of every point by expanding rings of cells.
 
     points: ``pid, p`` and any columns; lines: ``lid, line`` and any columns; admissible:
-    condition on both, applied before the choice. Round k looks up to 2**k cells around; a
-    point is settled when its best distance is within that reach, the rest goes on with the
-    doubled reach, so every point finds its nearest line. Ties go to the smaller ``lid``.
+    condition on both, applied before the choice. Round k looks up to 4**k cells around; a
+    point is settled when its best distance is within that reach, the rest goes on with four
+    times the reach, so every point finds its nearest line. Ties go to the smaller ``lid``.
     Returns all columns of both and ``dist`` (planar, coordinate units).
     """
     from rillwork.runtime import materialize
 
-    todo = materialize(points, "knn-points")
+    todo, lines = materialize(points, "knn-points"), materialize(lines, "knn-lines")
+    seg = lines.select(F.col("lid").alias("id"), F.explode(geom.segments(F.col("line"))).alias("s")).select(
+        "id", F.col("s.a.x").alias("x1"), F.col("s.a.y").alias("y1"), F.col("s.b.x").alias("x2"), F.col("s.b.y").alias("y2"))
     done = None
     for k in range(rings + 1):
-        cell = side << k
+        cell = side << (2 * k)
         pts = todo.withColumn("cx", F.explode(F.array(*[_cell(F.col("p.x"), cell) + i for i in (-1, 0, 1)]))).withColumn("cy", F.explode(F.array(*[_cell(F.col("p.y"), cell) + i for i in (-1, 0, 1)])))
-        seg = lines.select(F.col("lid").alias("id"), F.explode(geom.segments(F.col("line"))).alias("s")).select(
-            "id", F.col("s.a.x").alias("x1"), F.col("s.a.y").alias("y1"), F.col("s.b.x").alias("x2"), F.col("s.b.y").alias("y2"))
         cells = segment_cells(seg, cell, 0).select(F.col("id").alias("lid"), "cx", "cy").distinct()
         pairs = pts.select("pid", "cx", "cy").join(cells, ["cx", "cy"]).select("pid", "lid").distinct()
         cand = todo.join(pairs, "pid").join(lines, "lid").where(admissible)
