@@ -6,9 +6,9 @@ become terms with their positions. Test phrases of two terms (neighbours, or wit
 word between) are the units that are looked up; their document frequencies are counted
 over the whole corpus, and for every window of a test item the rarest are its anchors.
 In each block the offset-adjusted posting lists of the anchors are intersected: a page
-is a candidate for an item where two anchors agree on the place of the item's start.
-Candidates are then read again and aligned word by word, with tolerance for misread
-letters and for adverts set in between.
+is a candidate for an item where AGREE anchors agree on the place of the item's start,
+however common their phrases are. Candidates are then read again and aligned word by
+word from these anchors, with tolerance for misread letters and for adverts set in between.
 
 The test side is small by nature; its size is checked, not assumed (MAX_TEST_WORDS).
 """
@@ -34,9 +34,6 @@ ANCHORS = 12
 #: Anchors that have to agree, by how many words their places may differ from one to the next,
 #: and how many words of the item have to lie between the first and the last.
 AGREE, DRIFT, SPAN = 3, 3, 3
-#: Sum of log(pages / pages with the phrase) that agreeing anchors have to reach, so that common
-#: turns of phrase don't make a candidate.
-WEIGHT = 34.0
 #: Share of a run's words that must be read exactly (after folding).
 EXACT = 0.55
 #: Largest advert, in words, that may stand between two words of a passage.
@@ -102,8 +99,8 @@ def _lookup(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def choose_anchors(items: Items, df: dict[int, int], n_docs: int) -> tuple[np.ndarray, ...]:
-    """The ANCHORS rarest phrases of every window that may leak: sorted keys, items, positions, weights."""
+def choose_anchors(items: Items, df: dict[int, int]) -> tuple[np.ndarray, ...]:
+    """The ANCHORS rarest phrases of every window that may leak: sorted keys, items, positions."""
     key, item, pos = items.phrases()
     keep: set[tuple[int, int, int]] = set()
     by_item: dict[int, list] = defaultdict(list)
@@ -119,18 +116,18 @@ def choose_anchors(items: Items, df: dict[int, int], n_docs: int) -> tuple[np.nd
             for _, k, p in sorted(inside)[:ANCHORS]:
                 keep.add((k, i, p))
     rows = np.array(sorted(keep), np.int64).reshape(-1, 3)
-    weight = np.log(max(n_docs, 1) / np.array([df[k] for k in rows[:, 0].tolist()], float)) if len(rows) else np.zeros(0)
-    return rows[:, 0], rows[:, 1], rows[:, 2], weight
+    return rows[:, 0], rows[:, 1], rows[:, 2]
 
 
-def intersect(docs: np.ndarray, terms: np.ndarray, offsets: np.ndarray, anchors: tuple, n_terms: int) -> set[tuple[int, int]]:
-    """Candidate (doc, item index) of a block: AGREE anchors whose offset-adjusted postings meet."""
-    keys, a_item, a_pos, a_weight = anchors
+def intersect(docs: np.ndarray, terms: np.ndarray, offsets: np.ndarray, anchors: tuple, n_terms: int) -> dict[tuple[int, int], list[int]]:
+    """Candidate (doc, item index) of a block, where AGREE anchors meet by their offset-adjusted postings, with all
+    its anchors: place in the item, shifted by 32 bits, and on the page."""
+    keys, a_item, a_pos = anchors
     uniq, first = np.unique(keys, return_index=True)
     last = np.append(first[1:], len(keys))
     doc_of = np.repeat(np.arange(len(docs)), np.diff(offsets))
     at = np.arange(len(terms)) - offsets[:-1][doc_of]
-    out_d, out_i, out_o, out_p, out_w = [], [], [], [], []
+    out_d, out_i, out_o, out_p = [], [], [], []
     for gap in (1, 2):
         if len(terms) <= gap:
             continue
@@ -147,22 +144,26 @@ def intersect(docs: np.ndarray, terms: np.ndarray, offsets: np.ndarray, anchors:
         out_i.append(a_item[e])
         out_o.append(at[src] - a_pos[e])
         out_p.append(a_pos[e])
-        out_w.append(a_weight[e])
     if not out_d:
-        return set()
+        return {}
     d, i, o = np.concatenate(out_d), np.concatenate(out_i), np.concatenate(out_o)
-    pos, wt = np.concatenate(out_p), np.concatenate(out_w)
+    pos = np.concatenate(out_p)
     s = np.lexsort((o, i, d))
-    d, i, o, pos, wt = d[s], i[s], o[s], pos[s], wt[s]
+    d, i, o, pos = d[s], i[s], o[s], pos[s]
     if not len(d):
-        return set()
+        return {}
     # Runs of anchors of one page and item whose places differ little from one to the next.
     cut = np.flatnonzero((d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (o[1:] - o[:-1] > DRIFT)) + 1
     begin = np.concatenate([[0], cut])
     count = np.diff(np.append(begin, len(d)))
     span = np.maximum.reduceat(pos, begin) - np.minimum.reduceat(pos, begin)
-    ok = begin[(count >= AGREE) & (span >= SPAN) & (np.add.reduceat(wt, begin) >= WEIGHT)]
-    return {(int(docs[x]), int(y)) for x, y in zip(d[ok].tolist(), i[ok].tolist())}
+    # All anchors of such a page and item are places to begin: an advert may stand between a few and the rest.
+    pair = np.cumsum(np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1])])) - 1
+    ok = np.bincount(pair[begin[(count >= AGREE) & (span >= SPAN)]], minlength=pair[-1] + 1)[pair] > 0
+    out: dict[tuple[int, int], list[int]] = defaultdict(list)
+    for x, y, z in zip(docs[d[ok]].tolist(), i[ok].tolist(), ((pos[ok] << 32) + pos[ok] + o[ok]).tolist()):
+        out[x, y].append(z)
+    return dict(out)
 
 
 def distance(a: str, b: str, most: int) -> int:
@@ -171,6 +172,10 @@ def distance(a: str, b: str, most: int) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
+    # Every letter that only one of them has takes a change.
+    x, y = set(a), set(b)
+    if len(x - y) > most or len(y - x) > most:
+        return most + 1
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         prev, row[0] = row[0], i
@@ -195,17 +200,26 @@ def same(a: str, b: str) -> bool:
     return distance(a, b, most) <= most
 
 
+@lru_cache(maxsize=1 << 16)
 def bad(a: str, b: str) -> bool:
     """May ``b`` be a bad misreading of ``a``: half of the letters, one at least?"""
     most = max(1, max(len(a), len(b)) // 2)
     return distance(a, b, most) <= most
 
 
-def aligned(item: list[str], doc: list[str], starts: np.ndarray) -> tuple[int, int, int, int] | None:
-    """A run of MIN_WORDS or more consecutive item words on the page, from one of the ``starts``: its bounds in both."""
+def positions(doc: list[str]) -> dict[str, list[int]]:
     where: dict[str, list[int]] = defaultdict(list)
     for j, w in enumerate(doc):
         where[w].append(j)
+    return where
+
+
+def aligned(item: list[str], doc: list[str], starts: np.ndarray, seeds: list[int] | None = None) -> tuple[int, int, int, int] | None:
+    """A run of MIN_WORDS or more consecutive item words on the page, from one of the ``starts``: its bounds in both.
+
+    The run holds one of the ``seeds`` (as of :func:`intersect`; any place when None).
+    """
+    where = positions(doc) if seeds is None else None
     n, m = len(item), len(doc)
     seen: set[tuple[int, int]] = set()
 
@@ -224,9 +238,11 @@ def aligned(item: list[str], doc: list[str], starts: np.ndarray) -> tuple[int, i
 
     def jump(i: int, j: int) -> tuple[int, int] | None:
         """Continue behind an advert: three words of the item in a row (or all that are left), one of them exact."""
+        nonlocal where
         k = min(3, n - i)
         if k < 2:
             return None
+        where = positions(doc) if where is None else where
         places = {x - o for o in range(k) for x in where.get(item[i + o], ()) if j <= x - o < j + ADVERT}
         for x in sorted(places):
             a, b = i, x
@@ -239,8 +255,15 @@ def aligned(item: list[str], doc: list[str], starts: np.ndarray) -> tuple[int, i
                 return i, x
         return None
 
-    for i0, w in enumerate(item):
-        for j0 in where.get(w, ()):
+    if seeds is None:
+        places = {i0: where.get(w, ()) for i0, w in enumerate(item)}
+    else:
+        places = defaultdict(list)
+        for z in sorted(set(seeds)):
+            if (z & 0xFFFFFFFF) < m and doc[z & 0xFFFFFFFF] == item[z >> 32]:  # another page may have the same id
+                places[z >> 32].append(z & 0xFFFFFFFF)
+    for i0, js in places.items():
+        for j0 in js:
             # A run begins where two of three words in a row are read exactly.
             if (i0, j0) in seen or not (
                 (i0 + 1 < n and j0 + 1 < m and item[i0 + 1] == doc[j0 + 1]) or (i0 + 2 < n and j0 + 2 < m and item[i0 + 2] == doc[j0 + 2])
@@ -338,17 +361,17 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     freq = postings.select("terms").mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     # At most one row for each phrase of the test side, whose size is checked above.
-    anchors = spark.sparkContext.broadcast(choose_anchors(test, {r.key: r.n for r in freq.collect()}, postings.count()))
+    anchors = spark.sparkContext.broadcast(choose_anchors(test, {r.key: r.n for r in freq.collect()}))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item_ids = shared.value.ids
         for b in batches:
             off = b.column(1).offsets.to_numpy(zero_copy_only=False).astype(np.int64)
             t = b.column(1).values.to_numpy(zero_copy_only=False).astype(np.int64)
-            got = sorted(intersect(b.column(0).to_numpy(zero_copy_only=False), t[off[0] : off[-1]], off - off[0], anchors.value, n_terms))
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in got], pa.int64()), pa.array([i for _, i in got], pa.int32())], names=["doc_id", "item"])
+            got = sorted(intersect(b.column(0).to_numpy(zero_copy_only=False), t[off[0] : off[-1]], off - off[0], anchors.value, n_terms).items())
+            yield pa.RecordBatch.from_arrays([
+                pa.array([d for (d, _), _ in got], pa.int64()), pa.array([i for (_, i), _ in got], pa.int32()), pa.array([z for _, z in got], pa.list_(pa.int64()))], names=["doc_id", "item", "seeds"])
 
-    pairs = postings.mapInArrow(meet, "doc_id bigint, item int").groupBy("doc_id").agg(F.collect_set("item").alias("items"))
+    pairs = postings.mapInArrow(meet, "doc_id bigint, item int, seeds array<bigint>").groupBy("doc_id").agg(F.collect_list(F.struct("item", "seeds")).alias("items"))
     pairs = materialize(pairs, "candidates")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,7 +381,10 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
             wanted = b.column(3).to_pylist()
             for k, (i, t, x, y) in enumerate(_read(b)):
                 ws = pages.words(pages.columns(t, x, y), s.vocab)
-                out += [(i, s.ids[e]) for e in wanted[k] if aligned(s.words[e], ws, s.starts[e])]
+                seeds: dict[int, list[int]] = defaultdict(list)
+                for e in wanted[k]:
+                    seeds[e["item"]] += e["seeds"]
+                out += [(i, s.ids[e]) for e, z in seeds.items() if aligned(s.words[e], ws, s.starts[e], z)]
             yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([e for _, e in out], pa.int64())], names=["doc_id", "item_id"])
 
     return src.join(pairs, "doc_id").mapInArrow(verify, "doc_id bigint, item_id bigint").distinct()

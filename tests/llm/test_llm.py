@@ -130,6 +130,22 @@ def test_p8_planted(spark):
     assert leaks.find_leaks(df, it.limit(0)).count() == 0
 
 
+def test_p8_common_passages_and_small_corpora(spark):
+    rnd = random.Random(11)
+    vocab = ["".join(rnd.choice("bcdfghklmnprstvz") + rnd.choice("aeiou") for _ in range(rnd.randrange(2, 5))) for _ in range(500)]
+    item = [rnd.choice(vocab) for _ in range(40)]
+    it = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(rnd.choice(vocab) for _ in range(40)))], "item_id long, text string")
+    for n, every in ((3, 1), (60, 2)):
+        docs = []
+        for d in range(n):
+            words = [rnd.choice(vocab) for _ in range(40)]
+            if d % every == 0:
+                words[20:20] = item[8:20]
+            docs.append((d, " ".join(words), None))
+        df = spark.createDataFrame(docs, "doc_id long, text string, lines array<struct<x:int,y:int,w:int,h:int,conf:double>>")
+        assert {tuple(r) for r in leaks.find_leaks(df, it).collect()} == {(d, 1) for d in range(0, n, every)}
+
+
 def test_edit_distance():
     def slow(a, b):
         t = np.zeros((len(a) + 1, len(b) + 1), int)
