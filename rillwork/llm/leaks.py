@@ -299,16 +299,6 @@ def aligned(item: list[str], doc: list[str], starts: np.ndarray, seeds: list[int
     return None
 
 
-def _read(b: pa.RecordBatch) -> Iterator[tuple[int, str | None, list[int], list[int]]]:
-    ids, texts, lines = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
-    off = lines.offsets.to_numpy(zero_copy_only=False).tolist()
-    xs, ys = lines.values.field(0).to_pylist(), lines.values.field(1).to_pylist()
-    null = lines.is_null().to_pylist()
-    for k, (i, t) in enumerate(zip(ids, texts)):
-        x, y = ([], []) if null[k] else (xs[off[k] : off[k + 1]], ys[off[k] : off[k + 1]])
-        yield i, t, x, y
-
-
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Pages that hold MIN_WORDS consecutive words of an item that stand in no other item.
 
@@ -331,7 +321,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         get = vocab.get
         for b in batches:
             ids, terms, sizes = [], [], [0]
-            for i, t, x, y in _read(b):
+            for i, t, x, y in pages.read(b):
                 ws = pages.words(pages.columns(t, x, y), vocab)
                 terms.extend([get(w, -1) for w in ws])
                 ids.append(i)
@@ -379,7 +369,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         for b in batches:
             out: list[tuple[int, int]] = []
             wanted = b.column(3).to_pylist()
-            for k, (i, t, x, y) in enumerate(_read(b)):
+            for k, (i, t, x, y) in enumerate(pages.read(b)):
                 ws = pages.words(pages.columns(t, x, y), s.vocab)
                 seeds: dict[int, list[int]] = defaultdict(list)
                 for e in wanted[k]:

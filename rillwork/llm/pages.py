@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
+
+import pyarrow as pa
 
 #: Horizontal distance of two line starts, in pixels, from which they are in different columns.
 COLUMN_GAP = 60
@@ -104,3 +107,14 @@ def words(cols: list[list[str]], known=None) -> list[str]:
             fresh = True
             out += ws
     return out
+
+
+def read(b: pa.RecordBatch) -> Iterator[tuple[int, str | None, list[int], list[int]]]:
+    """Id, text, x and y of each line of the rows of a batch ``id, text, lines``."""
+    ids, texts, lines = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
+    off = lines.offsets.to_numpy(zero_copy_only=False).tolist()
+    xs, ys = lines.values.field(0).to_pylist(), lines.values.field(1).to_pylist()
+    null = lines.is_null().to_pylist()
+    for k, (i, t) in enumerate(zip(ids, texts)):
+        x, y = ([], []) if null[k] else (xs[off[k] : off[k + 1]], ys[off[k] : off[k + 1]])
+        yield i, t, x, y

@@ -7,7 +7,8 @@ open template fields with these fields. All others start as unlabelled and get t
 probabilities. Passages of a record are its lines and, cut out of them, its template
 fields; every passage is scored. A record is a case when one of its fields is positive
 (one left-over field is enough), or when passages with most of its words, a title above
-them aside, are. Fields in quotation marks are talk about fields and no passages.
+them aside, are. Fields in quotation marks are talk about fields and no passages. Pages
+with delimiters are read down their columns, so that a field broken at a line end is whole.
 
 The fit takes bounded, hash-chosen samples of each kind (FIT_TRUSTED, FIT_UNLABELLED);
 the scores and decisions cover every record whole.
@@ -55,8 +56,8 @@ SEED_FIELDS = (
 
 _DOUBLE = r"\{\{|\}\}|\{%|%\}|<%|%>|\[\[|\]\]|<<|>>|\$\{|#\{|@@|%\(\w"
 _SINGLE = (
-    r"\{[^\W\d_][\w .'’|-]{1,40}\}|\[[^\W\d_][^\[\]{}<>]{2,40}\]|<[^\W\d_][^<>\[\]{}]{2,40}>"
-    r"|&[\w|]{1,3};[^&;]{2,30}&[\w|]{1,3};|%[^\W\d_]\w{2,20}%|\$[^\W\d_]\w{2,20}\$|(?<!\w)__[^\W_]\w{1,20}?__(?!\w)"
+    r"\{[^\W\d_][\w .'’|-]+\}|\[[^\W\d_][^\[\]{}<>]{2,}\]|<[^\W\d_][^<>\[\]{}]{2,}>"
+    r"|&[\w|]{1,3};[^&;]{2,}&[\w|]{1,3};|%[^\W\d_]\w{2,}%|\$[^\W\d_]\w{2,}\$|(?<!\w)__[^\W_]\w+?__(?!\w)"
 )
 _NUMBER = re.compile(r"\S*[0-9]\S*")
 _FIELD = re.compile(f"{_DOUBLE}|{_SINGLE}")
@@ -86,6 +87,13 @@ def fields(text: str) -> list[list[str]]:
     return out
 
 
+def read_down(text: str, xs: list[int], ys: list[int]) -> str:
+    """The text column by column where it has delimiters of fields, else as it is."""
+    if _DELIM.search(text) is None:
+        return text
+    return "\n".join("\n".join(c) for c in pages.columns(text, xs, ys))
+
+
 def open_field(text: str) -> bool:
     """Has the text a template field that isn't quoted?"""
     return bool(fields(text))
@@ -198,10 +206,13 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
     """Ids of records with an open template field, or that consist of filler, errors or script notices.
 
     Null, empty and blank texts are no case. Long texts are read whole, repeated ids give
-    one row, other columns are not read.
+    one row. ``lines`` (boxes with x and y, one for each line of the text), where there is
+    such a column, gives the columns of a page; other columns are not read.
     """
     spark = docs.sparkSession
-    src = docs.select(F.col(id_).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).where("doc_id is not null and length(trim(text)) > 0")
+    none = F.lit(None).cast("array<struct<x:int,y:int>>")
+    box = F.transform("lines", lambda l: F.struct(F.coalesce(l["x"], F.lit(0)).alias("x"), F.coalesce(l["y"], F.lit(0)).alias("y"))) if "lines" in docs.columns else none
+    src = docs.select(F.col(id_).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), box.alias("lines")).where("doc_id is not null and length(trim(text)) > 0")
 
     # Only records below a hash cut enter, so that what all tasks hold together is bounded too.
     total = max(1, docs.count())
@@ -215,10 +226,11 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
 
         keep: dict[int, list] = {k: [] for k in bound}
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, t, x, y in pages.read(b):
                 h = zlib.crc32(str(i).encode())
                 if h >= cut[TRUSTED] or (h >= cut[UNLABELLED] and not has_seed(t) and _DELIM.search(t) is None):
                     continue
+                t = read_down(t, x, y)
                 kind = kind_of(t)
                 heap = keep[kind]
                 if h < cut[kind] and (len(heap) < bound[kind] or -heap[0][0] > h):
@@ -233,7 +245,7 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
-            ids = [i for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if m.case(t)]
+            ids = [i for i, t, x, y in pages.read(b) if m.case(read_down(t, x, y))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], names=["doc_id"])
 
     return src.mapInArrow(decide, "doc_id bigint").distinct().withColumnRenamed("doc_id", id_)

@@ -183,6 +183,21 @@ def test_p9_planted(spark):
     assert residue.residue_pages(df.limit(0)).count() == 0
 
 
+def test_p9_field_broken_between_columns(spark):
+    rnd = random.Random(5)
+    words = ["harbour", "vessel", "quay", "miller", "market", "bridge", "lantern", "council", "raft", "meadow"]
+    line = lambda: " ".join(rnd.choice(words) for _ in range(6))
+    rows = [(i, "\n".join(line() for _ in range(8)), None) for i in range(300)]
+    rows += [(1000 + i, line() + "\nthe [INSERT HEADLINE] and ${title} stayed\n" + line(), None) for i in range(20)]
+    # Two columns mixed line by line: the field's halves are apart in the text.
+    left, right = [line(), "by the quay [INSERT", "HEADLINE] was read", line()], [line() for _ in range(4)]
+    text = "\n".join(s for pair in zip(left, right) for s in pair)
+    rows.append((2000, text, [Row(x=10 + 500 * (k % 2), y=30 * (k // 2)) for k in range(8)]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lines array<struct<x:int,y:int>>")
+    assert {r.doc_id for r in residue.residue_pages(df).collect()} == {1000 + i for i in range(20)} | {2000}
+    assert residue.open_field("the [INSERT A HEADLINE OF AT MOST SIX WORDS FOR THIS STORY HERE] stayed")
+
+
 def best_total(edges):
     ls = sorted({x for x, _ in edges})
     best = 0.0
