@@ -26,7 +26,7 @@ LEAST_NAME, LEAST_PLACE = 0.6, 0.15
 #: Place similarity from which two ends alone make a match when one side has no name.
 NAMELESS = 0.85
 #: Least raise of a bid. Smaller is closer to the best total and takes more rounds where many want the same.
-EPSILON = 0.02
+EPSILON = 1e-6
 
 # Words that tell the kind of a watercourse, and letters to their sounds.
 STATUS_WORDS = (

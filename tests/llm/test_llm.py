@@ -225,6 +225,12 @@ def test_assignment_is_optimal(spark):
     assert sum(r.confidence for r in got) >= best_total(edges) - matching.EPSILON * len(got)
 
 
+def test_assignment_takes_a_slightly_better_late_bidder(spark):
+    edges = [("a", "r1", 0.80), ("b", "r2", 0.90), ("b", "r1", 0.81), ("c", "r2", 0.95)]
+    got = matching.assign(spark.createDataFrame(edges, "l string, r string, confidence double")).collect()
+    assert {(r.l, r.r) for r in got} == {("b", "r1"), ("c", "r2")}
+
+
 def test_names_sound_alike(spark):
     pairs = [("Верхняя Шуместь", "Verkhnyaya Shumest"), ("Ёлгюган (приток озера)", "река Ёлгюган"), ("Юртомка", "Yurtomka River"), ("Вышкаха", "Вышккаха")]
     rows = spark.createDataFrame(pairs, "a string, b string").select(matching.sound(F.col("a")).alias("a"), matching.sound(F.col("b")).alias("b")).collect()
