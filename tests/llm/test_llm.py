@@ -3,6 +3,8 @@
 import itertools
 import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -130,20 +132,69 @@ def test_p8_planted(spark):
     assert leaks.find_leaks(df, it.limit(0)).count() == 0
 
 
+BOX = "array<struct<x:int,y:int,w:int,h:int,conf:double>>"
+
+
 def test_p8_common_passages_and_small_corpora(spark):
     rnd = random.Random(11)
     vocab = ["".join(rnd.choice("bcdfghklmnprstvz") + rnd.choice("aeiou") for _ in range(rnd.randrange(2, 5))) for _ in range(500)]
-    item = [rnd.choice(vocab) for _ in range(40)]
+    item = [rnd.choice(vocab) for _ in range(60)]
     it = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(rnd.choice(vocab) for _ in range(40)))], "item_id long, text string")
-    for n, every in ((3, 1), (60, 2)):
+    # (pages, one in how many has the passage, its words)
+    for n, every, k in ((3, 3, 12), (1000, 3, 12), (100, 2, 20), (3, 1, 12)):
         docs = []
         for d in range(n):
             words = [rnd.choice(vocab) for _ in range(40)]
             if d % every == 0:
-                words[20:20] = item[8:20]
+                words[20:20] = item[8 : 8 + k]
             docs.append((d, " ".join(words), None))
-        df = spark.createDataFrame(docs, "doc_id long, text string, lines array<struct<x:int,y:int,w:int,h:int,conf:double>>")
+        df = spark.createDataFrame(docs, f"doc_id long, text string, lines {BOX}")
         assert {tuple(r) for r in leaks.find_leaks(df, it).collect()} == {(d, 1) for d in range(0, n, every)}
+    whole = spark.createDataFrame([(7, " ".join(item), None)], f"doc_id long, text string, lines {BOX}")
+    assert [tuple(r) for r in leaks.find_leaks(whole, it).collect()] == [(7, 1)]
+
+
+def test_p8_adverts_between_words(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("bcdfghklmnprstvz") + rnd.choice("aeiou") for _ in range(rnd.randrange(3, 6)))
+    item = [word() for _ in range(60)]
+    it = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(word() for _ in range(40)))], "item_id long, text string")
+    advert = lambda n: [word() for _ in range(n)]
+    cut = [(2, 40), (3, 60), (6, 30), (10, 40), (9, 120), (6, 200)]
+    docs = [(d, " ".join(advert(10) + item[20 : 20 + a] + advert(n) + item[20 + a : 32] + advert(10)), None) for d, (a, n) in enumerate(cut)]
+    docs.append((100, " ".join(advert(10) + item[20:31] + advert(10)), None))
+    df = spark.createDataFrame(docs, f"doc_id long, text string, lines {BOX}")
+    assert {tuple(r) for r in leaks.find_leaks(df, it).collect()} == {(d, 1) for d in range(len(cut))}
+
+
+def test_index_lists(spark):
+    df = spark.createDataFrame([(5, "b a b\nc", None), (6, "a", None), (7, "", None), (None, "a", None)], f"doc_id long, text string, lines {BOX}").coalesce(1)
+    rows = {r.term: r for r in leaks.build_index(df).collect()}
+    assert list(rows[""].docs) == [5, 6] and list(rows[""].at) == [leaks.GUARD, 2 * leaks.GUARD + 4]
+    assert {t: (r.n, list(np.cumsum(r.at))) for t, r in rows.items() if t} == {"b": (2, [8, 10]), "a": (2, [9, 20]), "c": (1, [11])}
+
+
+def test_blocks_and_shards_change_nothing(spark, monkeypatch):
+    docs, items, expect = leak_rows()
+    df = spark.createDataFrame(docs, f"doc_id long, text string, lines {BOX}")
+    monkeypatch.setattr(leaks, "BLOCK_WORDS", 500)
+    monkeypatch.setattr(leaks, "SHARD_PHRASES", 100)
+    assert {tuple(r) for r in leaks.find_leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()} == expect
+
+
+def test_workers_need_no_package(tmp_path):
+    """Functions and broadcasts reach workers that can't import the package."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"""
+import sys; sys.path.insert(0, {root!r})
+from rillwork.runtime import session
+from rillwork.llm import queries as q
+s = session("local[2]", 2, **{{"spark.checkpoint.dir": {str(tmp_path / "ck")!r}}})
+print("rows", q.p8_found(s, "/root/testdata/sf0.001").count() > 0, q.p9_found(s, "/root/testdata/sf0.001").count() > 0)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "rows True True" in got.stdout, got.stderr[-2000:]
 
 
 def test_edit_distance():
