@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -292,12 +291,23 @@ def candidates(index: DataFrame, phrases: DataFrame) -> DataFrame:
     return materialize(fetched.groupBy("block", "shard").cogroup(where.groupBy("in_block", "in_shard")).applyInArrow(meet, "doc_id bigint, row bigint, seeds array<bigint>"), "candidates")
 
 
-@lru_cache(maxsize=1 << 16)
+# Results of the comparisons in a task. Plain dicts, as caches of functools reach a worker by their module's name only.
+_LETTERS: dict[str, int] = {}
+_SAME: dict[tuple[str, str], bool] = {}
+_BAD: dict[tuple[str, str], bool] = {}
+_MEMO = 1 << 18
+
+
 def _letters(word: str) -> int:
     """The word's letters as a set of 64 bits."""
-    out = 0
-    for ch in word:
-        out |= 1 << (ord(ch) & 63)
+    out = _LETTERS.get(word)
+    if out is None:
+        out = 0
+        for ch in word:
+            out |= 1 << (ord(ch) & 63)
+        if len(_LETTERS) >= _MEMO:
+            _LETTERS.clear()
+        _LETTERS[word] = out
     return out
 
 
@@ -320,23 +330,26 @@ def distance(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
-@lru_cache(maxsize=1 << 18)
+def _within(memo: dict[tuple[str, str], bool], a: str, b: str, most: int) -> bool:
+    out = memo.get((a, b))
+    if out is None:
+        if len(memo) >= _MEMO:
+            memo.clear()
+        out = memo[a, b] = distance(a, b, most) <= most
+    return out
+
+
 def same(a: str, b: str) -> bool:
     """Equal but for misread letters: a third of the letters, one at least."""
     if a == b:
         return True
     n = max(len(a), len(b))
-    if n <= 2:
-        return False
-    most = max(1, n // 3)
-    return distance(a, b, most) <= most
+    return n > 2 and _within(_SAME, a, b, max(1, n // 3))
 
 
-@lru_cache(maxsize=1 << 18)
 def bad(a: str, b: str) -> bool:
     """May ``b`` be a bad misreading of ``a``: half of the letters, one at least?"""
-    most = max(1, max(len(a), len(b)) // 2)
-    return distance(a, b, most) <= most
+    return _within(_BAD, a, b, max(1, max(len(a), len(b)) // 2))
 
 
 def positions(doc: list[str]) -> dict[str, list[int]]:
@@ -490,7 +503,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, ws, bag = None, [], set()
-        parts = lru_cache(maxsize=4096)(windows)
+        parts: dict[tuple, tuple] = {}
         for b in batches:
             out: list[tuple[int, int]] = []
             rest = [b.column(c).to_pylist() for c in ("item_id", "words", "twice", "common", "seeds")]
@@ -499,7 +512,10 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                     last, ws = (i, t), pages.words(pages.columns(t, x, y))
                     bag = bag_of(ws)
                 item, words, twice, common, seeds = (c[k] for c in rest)
-                if aligned(words, ws, bag, *parts(len(words), tuple(twice), tuple(common)), seeds):
+                key = (len(words), tuple(twice), tuple(common))
+                if key not in parts:
+                    parts[key] = windows(*key)
+                if aligned(words, ws, bag, *parts[key], seeds):
                     out.append((i, item))
             yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), pa.array([e for _, e in out], pa.int64())], names=["doc_id", "item_id"])
 

@@ -7,11 +7,13 @@ open template fields with these fields. All others start as unlabelled and get t
 probabilities. Passages of a record are its lines and, cut out of them, its template
 fields; every passage is scored. A record is a case when one of its fields is positive
 (one left-over field is enough), or when passages with most of its words, a title above
-them aside, are. Fields in quotation marks are talk about fields and no passages. Pages
+them aside, are. A field in quotation marks has words of its own, which stand in unlabelled
+records alone, so the model tells talk about fields from fields. Pages
 with delimiters are read down their columns, so that a field broken at a line end is whole.
 
-The fit takes bounded, hash-chosen samples of each kind (FIT_TRUSTED, FIT_UNLABELLED);
-the scores and decisions cover every record whole.
+The fit takes bounded, hash-chosen samples of each kind (FIT_TRUSTED, FIT_UNLABELLED) with
+a bounded number of passages and words of each (FIT_PASSAGES, FIT_WORDS), in one task; the
+driver gets the log odds of the words alone. The scores and decisions cover every record whole.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from rillwork.llm import pages
 from rillwork.runtime import materialize
 
+#: Records of each kind in the fit's sample, passages of such a record and words of such a passage.
 FIT_TRUSTED = 3000
 FIT_UNLABELLED = 3000
+FIT_PASSAGES, FIT_WORDS = 64, 48
 EM_STEPS = 6
 #: Log odds of a word that the fit has not seen.
 UNSEEN = -0.7
@@ -67,8 +71,12 @@ _CLOSE = re.compile(r"[\"'«»“”„‟‘’‚‹›`]")
 _QUOTED = re.compile(r"[\"'«»“”„‟‘’‚‹›`]\s*[\[{<%$#@_&(]*$")
 
 
+#: Set before the words of a field in quotation marks.
+QUOTED = "\x02"
+
+
 def fields(text: str) -> list[list[str]]:
-    """Words of each template field that isn't quoted: its delimiters as one word, then the folded words behind."""
+    """Words of each template field: its delimiters as one word, then the folded words behind; all marked where it is quoted."""
     if _DELIM.search(text) is None:
         return []
     flat = re.sub(r"[-­¬=~‐–]?\s*\n\s*", " ", text) if "\n" in text else text
@@ -77,13 +85,14 @@ def fields(text: str) -> list[list[str]]:
     for m in _FIELD.finditer(flat):
         if m.start() < seen:
             continue
+        body = m.group()
+        name = _NAME.match(flat, m.end()).group() if len(body) <= 3 else body
+        ws = ["\x01" + re.sub(r"[\w\s.'’|-]+", "_", body), *pages.fold(name.replace("_", " ")).split()[:2]]
         if _QUOTED.search(flat[max(0, m.start() - 6) : m.start()]):
             close = _CLOSE.search(flat, m.end())
             seen = close.end() if close and close.start() - m.end() < 60 else m.end()
-            continue
-        body = m.group()
-        name = _NAME.match(flat, m.end()).group() if len(body) <= 3 else body
-        out.append(["\x01" + re.sub(r"[\w\s.'’|-]+", "_", body), *pages.fold(name.replace("_", " ")).split()[:2]])
+            ws = [QUOTED + w for w in ws]
+        out.append(ws)
     return out
 
 
@@ -96,24 +105,41 @@ def read_down(text: str, xs: list[int], ys: list[int]) -> str:
 
 def open_field(text: str) -> bool:
     """Has the text a template field that isn't quoted?"""
-    return bool(fields(text))
+    return any(ws[0][0] != QUOTED for ws in fields(text))
 
 
 def has_seed(text: str) -> bool:
     return any(map(text.lower().__contains__, SEEDS))
 
 
-UNLABELLED, TRUSTED, PLACEHOLDER = range(3)
+UNLABELLED, TRUSTED, PLACEHOLDER, FIELDED = range(4)
 
 
 def kind_of(text: str) -> int:
-    """TRUSTED: at least half of the lines, or three of them, hold seed phrases; PLACEHOLDER: two open fields or more."""
+    """TRUSTED: at least half of the lines, or three of them, hold seed phrases; PLACEHOLDER: two open fields or more;
+    FIELDED: unlabelled, with another number of fields."""
     if has_seed(text):
         lines = [s for s in text.split("\n") if s.strip()]
         hits = sum(map(has_seed, lines))
         if hits * 2 >= len(lines) > 0 or hits >= 3:
             return TRUSTED
-    return PLACEHOLDER if len(fields(text)) > 1 else UNLABELLED
+    found = fields(text)
+    if sum(ws[0][0] != QUOTED for ws in found) > 1:
+        return PLACEHOLDER
+    return FIELDED if found else UNLABELLED
+
+
+def fit_passages(kind: int, text: str) -> tuple[list[str], list[bool]]:
+    """At most FIT_PASSAGES lines and fields of a record, each of at most FIT_WORDS words set apart by blanks, evenly taken."""
+    # The other text of a record with placeholders is neither.
+    lines = _passages(text) if kind != PLACEHOLDER else []
+    out, is_field = [], []
+    for rows, f in ((lines, False), (fields(text), True)):
+        every = -(-len(rows) // FIT_PASSAGES) or 1
+        for ws in rows[::every]:
+            out.append(" ".join(ws[:FIT_WORDS]))
+            is_field.append(f)
+    return out, is_field
 
 
 def _passages(text: str) -> list[list[str]]:
@@ -136,25 +162,24 @@ class Model:
         self.odds = odds
 
     @staticmethod
-    def fit(records: list[tuple[int, str]]) -> "Model":
-        """records: (kind, text)."""
+    def fit(records: list[tuple[int, list[str], list[bool]]]) -> "Model":
+        """records: kind, passages and which of them are fields (of :func:`fit_passages`)."""
         vocab: dict[str, int] = {}
         flat: list[int] = []
         row: list[int] = []  # passage of each word
         record: list[int] = []  # record of each passage
         is_field: list[bool] = []
-        records = sorted([*records, (PLACEHOLDER, SEED_FIELDS)], key=lambda r: r[0])
-        for r, (kind, t) in enumerate(records):
-            found = fields(t)
-            # The other text of a record with placeholders is neither.
-            for ws, f in [(ws, False) for ws in (_passages(t) if kind != PLACEHOLDER else [])] + [(ws, True) for ws in found]:
-                flat.extend(vocab.setdefault(w, len(vocab)) for w in ws)
-                row.extend([len(record)] * len(ws))
+        records = sorted([*records, (PLACEHOLDER, *fit_passages(PLACEHOLDER, SEED_FIELDS))], key=lambda r: r[0])
+        for r, (_, passages, are_fields) in enumerate(records):
+            for ws, f in zip(passages, are_fields):
+                ids = [vocab.setdefault(w, len(vocab)) for w in ws.split(" ")]
+                flat.extend(ids)
+                row.extend([len(record)] * len(ids))
                 record.append(r)
                 is_field.append(f)
         w, row_, rec, field, v = np.array(flat), np.array(row), np.array(record), np.array(is_field), len(vocab)
         n_rec = len(records)
-        label = np.array([k != UNLABELLED for k, _ in records])
+        label = np.array([k in (TRUSTED, PLACEHOLDER) for k, _, _ in records])
         fixed = label[rec]
         p = fixed.astype(float)
         order = np.flatnonzero(~field)  # lines, in the order of their records
@@ -216,7 +241,7 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
 
     # Only records below a hash cut enter, so that what all tasks hold together is bounded too.
     total = max(1, docs.count())
-    bound = {UNLABELLED: FIT_UNLABELLED, TRUSTED: FIT_TRUSTED, PLACEHOLDER: FIT_TRUSTED}
+    bound = {UNLABELLED: FIT_UNLABELLED, TRUSTED: FIT_TRUSTED, PLACEHOLDER: FIT_TRUSTED, FIELDED: FIT_UNLABELLED}
     cut = {k: (4 if k == UNLABELLED else 200) * n / total * 2**32 for k, n in bound.items()}
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,16 +259,28 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
                 kind = kind_of(t)
                 heap = keep[kind]
                 if h < cut[kind] and (len(heap) < bound[kind] or -heap[0][0] > h):
-                    (heapq.heappush if len(heap) < bound[kind] else heapq.heapreplace)(heap, (-h, i, t))
-        rows = [(k, -h, t) for k, heap in keep.items() for h, _, t in heap]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())], names=["kind", "h", "text"])
-
-    sample = materialize(src.mapInArrow(mark, "kind int, h bigint, text string"), "fit-sample")
-    records = [(k, r.text) for k, n in bound.items() for r in sample.where(F.col("kind") == k).orderBy("h", "text").limit(n).collect()]
-    model = spark.sparkContext.broadcast(Model.fit(records))
+                    (heapq.heappush if len(heap) < bound[kind] else heapq.heapreplace)(heap, (-h, i, *fit_passages(kind, t)))
+        rows = [(k, -h, p, f) for k, heap in keep.items() for h, _, p, f in heap]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
+            pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([r[3] for r in rows], pa.list_(pa.bool_()))], names=["kind", "h", "passages", "fields"])
+
+    sample = materialize(src.mapInArrow(mark, "kind int, h bigint, passages array<string>, fields array<boolean>"), "fit-sample")
+    chosen = None
+    for k, n in bound.items():
+        part = sample.where(F.col("kind") == k).orderBy("h", "passages").limit(n)
+        chosen = part if chosen is None else chosen.unionByName(part)
+
+    def learn(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("kind", "ascending"), ("h", "ascending")])
+        odds = Model.fit(list(zip(*[rows.column(c).to_pylist() for c in ("kind", "passages", "fields")]))).odds
+        return pa.table({"word": pa.array(list(odds), pa.string()), "odds": pa.array(list(odds.values()), pa.float64())})
+
+    # One task has the whole sample, of bounded records, passages and words.
+    odds = spark.sparkContext.broadcast({r.word: r.odds for r in chosen.groupBy(F.lit(1)).applyInArrow(learn, "word string, odds double").collect()})
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = Model(odds.value)
         for b in batches:
             ids = [i for i, t, x, y in pages.read(b) if m.case(read_down(t, x, y))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], names=["doc_id"])

@@ -48,6 +48,31 @@ def test_groups_long_chain_and_hub(spark):
     assert components.link_groups(df.limit(0), "n", "w").count() == 0
 
 
+def test_groups_of_any_ids(spark):
+    big = 1 << 62
+    pairs = [(1, big), (1 + (1 << 61), big + 1), (1 + (1 << 60), -big), (-(1 << 63), (1 << 63) - 1), (big, (1 << 63) - 1)]
+    df = spark.createDataFrame(pairs, "n long, w long")
+    assert {tuple(r) for r in components.link_groups(df, "n", "w").collect()} == brute_groups(pairs)
+    edges = spark.createDataFrame([(1, 2), (2, 3), (big, 3), (7, 7), (None, 1)], "u long, v long")
+    labels = spark.createDataFrame([(3, 30), (2, 20), (9, 90), (7, 70)], "v long, label long")
+    assert {tuple(r) for r in components.components(edges, labels).collect()} == {(1, 20), (2, 20), (3, 20), (big, 20), (7, 70), (9, 90)}
+
+
+def test_growth_refers_once_to_each_step(spark):
+    def leaves(rounds):
+        components.ROUNDS, kept = rounds, components.ROUNDS
+        seen = []
+        write, components.materialize = components.materialize, lambda df, name="step": (seen.append((name, df)), write(df, name))[1]
+        try:
+            components.link_groups(spark.createDataFrame([(i, i + d) for i in range(30) for d in (0, 1)], "n long, w long"), "n", "w").count()
+        finally:
+            components.ROUNDS, components.materialize = kept, write
+        plan = next(df for name, df in seen if name == "assign")._jdf.queryExecution().optimizedPlan()
+        return plan.collectLeaves().size()
+
+    assert leaves(8) - leaves(4) == 4
+
+
 TEXTS = ["", None, " ", "  a\n\n\n b   c  ", "<|endoftext|> aaaaaaaaa bbbb", "don't We'LL 'tis ½²③", "\x1c\x1d x​ y　z", "é́ 日本語 \U0001f937\U0001f3fd‍♀️", "Привет, мир-мир!" * 3, "aaa" * 5000, "x" * 40000]
 
 
@@ -220,6 +245,20 @@ def test_open_field(text, open_):
     assert residue.open_field(text) == open_
 
 
+def test_p9_model_rejects_quoted_fields(spark):
+    rnd = random.Random(6)
+    words = ["harbour", "vessel", "quay", "miller", "market", "bridge", "lantern", "council", "raft", "meadow"]
+    line = lambda: " ".join(rnd.choice(words) for _ in range(6))
+    page = lambda mid: "\n".join([line(), line(), mid, line()])
+    rows = [(i, page(line())) for i in range(200)]
+    rows += [(1000 + i, page("the {{headline}} by ${author} stayed")) for i in range(20)]
+    rows += [(2000 + i, page("the compositor had set “{{headline}}” in the proof")) for i in range(5)]
+    rows += [(3000 + i, page(x)) for i, x in enumerate(("he wrote «${author}» there", "a list [1] and {2} and <3", "paid $5 or 7% & more #4"))]
+    rows += [(4000, page("one {{title}} was left")), (4001, page("“{{headline}}” was read but {{headline}} stayed"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in residue.residue_pages(df).collect()} == {1000 + i for i in range(20)} | {4000, 4001}
+
+
 def test_p9_planted(spark):
     rnd = random.Random(2)
     words = ["harbour", "vessel", "quay", "miller", "market", "bridge", "lantern", "council", "raft", "meadow"]
