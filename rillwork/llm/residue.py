@@ -277,7 +277,7 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
         return pa.table({"word": pa.array(list(odds), pa.string()), "odds": pa.array(list(odds.values()), pa.float64())})
 
     # One task has the whole sample, of bounded records, passages and words.
-    odds = spark.sparkContext.broadcast({r.word: r.odds for r in chosen.groupBy(F.lit(1)).applyInArrow(learn, "word string, odds double").collect()})
+    odds = spark.sparkContext.broadcast({r.word: r.odds for r in chosen.withColumn("part", F.lit(1)).groupBy("part").applyInArrow(learn, "word string, odds double").collect()})
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(odds.value)
