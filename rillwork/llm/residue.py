@@ -7,8 +7,8 @@ open template fields with these fields. All others start as unlabelled and get t
 probabilities. Passages of a record are its lines and, cut out of them, its template
 fields; every passage is scored. A record is a case when one of its fields is positive
 (one left-over field is enough), or when passages with most of its words, a title above
-them aside, are. A field in quotation marks has words of its own, which stand in unlabelled
-records alone, so the model tells talk about fields from fields. Pages
+them aside, are. Fields in quotation marks are talk about fields: they have words of their
+own in the model, and the fit takes them as negative. Pages
 with delimiters are read down their columns, so that a field broken at a line end is whole.
 
 The fit takes bounded, hash-chosen samples of each kind (FIT_TRUSTED, FIT_UNLABELLED) with
@@ -63,7 +63,7 @@ _SINGLE = (
     r"\{[^\W\d_][\w .'’|-]+\}|\[[^\W\d_][^\[\]{}<>]{2,}\]|<[^\W\d_][^<>\[\]{}]{2,}>"
     r"|&[\w|]{1,3};[^&;]{2,}&[\w|]{1,3};|%[^\W\d_]\w{2,}%|\$[^\W\d_]\w{2,}\$|(?<!\w)__[^\W_]\w+?__(?!\w)"
 )
-_NUMBER = re.compile(r"\S*[0-9]\S*")
+_NUMBER = re.compile(r"(?<!\S)(?=\S*?[0-9])\S+")
 _FIELD = re.compile(f"{_DOUBLE}|{_SINGLE}")
 _DELIM = re.compile(r"[{}\[\]<>%$#@&]|__")
 _NAME = re.compile(r"[^\n{}\[\]<>%$#@&]{0,30}")
@@ -71,12 +71,12 @@ _CLOSE = re.compile(r"[\"'«»“”„‟‘’‚‹›`]")
 _QUOTED = re.compile(r"[\"'«»“”„‟‘’‚‹›`]\s*[\[{<%$#@_&(]*$")
 
 
-#: Set before the words of a field in quotation marks.
-QUOTED = "\x02"
+#: Set before the words of a field, in quotation marks or not.
+QUOTED, OPEN = "\x02", "\x03"
 
 
 def fields(text: str) -> list[list[str]]:
-    """Words of each template field: its delimiters as one word, then the folded words behind; all marked where it is quoted."""
+    """Words of each template field: its delimiters as one word, then the folded words behind; all marked as a field's, quoted or not."""
     if _DELIM.search(text) is None:
         return []
     flat = re.sub(r"[-­¬=~‐–]?\s*\n\s*", " ", text) if "\n" in text else text
@@ -91,8 +91,9 @@ def fields(text: str) -> list[list[str]]:
         if _QUOTED.search(flat[max(0, m.start() - 6) : m.start()]):
             close = _CLOSE.search(flat, m.end())
             seen = close.end() if close and close.start() - m.end() < 60 else m.end()
-            ws = [QUOTED + w for w in ws]
-        out.append(ws)
+            out.append([QUOTED + w for w in ws])
+        else:
+            out.append([OPEN + w for w in ws])
     return out
 
 
@@ -112,21 +113,17 @@ def has_seed(text: str) -> bool:
     return any(map(text.lower().__contains__, SEEDS))
 
 
-UNLABELLED, TRUSTED, PLACEHOLDER, FIELDED = range(4)
+UNLABELLED, TRUSTED, PLACEHOLDER = range(3)
 
 
 def kind_of(text: str) -> int:
-    """TRUSTED: at least half of the lines, or three of them, hold seed phrases; PLACEHOLDER: two open fields or more;
-    FIELDED: unlabelled, with another number of fields."""
+    """TRUSTED: at least half of the lines, or three of them, hold seed phrases; PLACEHOLDER: two open fields or more."""
     if has_seed(text):
         lines = [s for s in text.split("\n") if s.strip()]
         hits = sum(map(has_seed, lines))
         if hits * 2 >= len(lines) > 0 or hits >= 3:
             return TRUSTED
-    found = fields(text)
-    if sum(ws[0][0] != QUOTED for ws in found) > 1:
-        return PLACEHOLDER
-    return FIELDED if found else UNLABELLED
+    return PLACEHOLDER if sum(ws[0][0] != QUOTED for ws in fields(text)) > 1 else UNLABELLED
 
 
 def fit_passages(kind: int, text: str) -> tuple[list[str], list[bool]]:
@@ -181,7 +178,12 @@ class Model:
         n_rec = len(records)
         label = np.array([k in (TRUSTED, PLACEHOLDER) for k, _, _ in records])
         fixed = label[rec]
-        p = fixed.astype(float)
+        # Quoted fields are known negatives.
+        quoted = np.array([x[0] == QUOTED for x in vocab], bool)
+        talk = np.zeros(len(rec), bool)
+        talk[row_[quoted[w]]] = True
+        fixed = fixed | talk
+        p = np.where(talk, 0.0, fixed)
         order = np.flatnonzero(~field)  # lines, in the order of their records
         n_lines = np.bincount(rec[order], minlength=n_rec)
         first = np.concatenate([[0], np.cumsum(n_lines)[:-1]])
@@ -192,6 +194,7 @@ class Model:
             q = p[row_]
             a, b = np.bincount(w, q, v), np.bincount(w, 1 - q, v)
             odds = np.clip(np.log((a + 0.05) / (a.sum() + 0.05 * v)) - np.log((b + 0.05) / (b.sum() + 0.05 * v)), -CLIP, CLIP)
+            odds = np.where(quoted, np.minimum(odds, UNSEEN), odds)
             odds = np.where(n < 2, np.minimum(odds, 0.5), odds)
             score = np.clip(np.bincount(row_, odds[w], len(rec)), -CLIP, CLIP)
             # Lines get the probability of their record, whose title doesn't count against it.
@@ -210,7 +213,7 @@ class Model:
             # Fields have their own.
             loose = field & ~fixed
             f_rate = float(np.clip(p[loose].mean(), 0.05, 0.5)) if loose.any() else 0.5
-            p = np.where(fixed, 1.0, np.where(field, sigmoid(score + logit(f_rate)), post[rec]))
+            p = np.where(fixed, np.where(talk, 0.0, 1.0), np.where(field, sigmoid(score + logit(f_rate)), post[rec]))
         return Model(dict(zip(vocab, odds.tolist())))
 
     def case(self, text: str) -> bool:
@@ -241,7 +244,7 @@ def residue_pages(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> D
 
     # Only records below a hash cut enter, so that what all tasks hold together is bounded too.
     total = max(1, docs.count())
-    bound = {UNLABELLED: FIT_UNLABELLED, TRUSTED: FIT_TRUSTED, PLACEHOLDER: FIT_TRUSTED, FIELDED: FIT_UNLABELLED}
+    bound = {UNLABELLED: FIT_UNLABELLED, TRUSTED: FIT_TRUSTED, PLACEHOLDER: FIT_TRUSTED}
     cut = {k: (4 if k == UNLABELLED else 200) * n / total * 2**32 for k, n in bound.items()}
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -247,12 +247,12 @@ def test_open_field(text, open_):
 
 def test_p9_model_rejects_quoted_fields(spark):
     rnd = random.Random(6)
-    words = ["harbour", "vessel", "quay", "miller", "market", "bridge", "lantern", "council", "raft", "meadow"]
+    words = [a + b + c for a in ("har", "ves", "qua", "mil", "mar") for b in ("bo", "se", "ru", "ti") for c in ("l", "ket", "dge", "ntern")]
     line = lambda: " ".join(rnd.choice(words) for _ in range(6))
-    page = lambda mid: "\n".join([line(), line(), mid, line()])
-    rows = [(i, page(line())) for i in range(200)]
-    rows += [(1000 + i, page("the {{headline}} by ${author} stayed")) for i in range(20)]
-    rows += [(2000 + i, page("the compositor had set “{{headline}}” in the proof")) for i in range(5)]
+    page = lambda mid: "\n".join([*[line() for _ in range(6)], f"{rnd.choice(words)} {mid} {rnd.choice(words)}", line()])
+    rows = [(i, page("the compositor had it in the proof" if i % 3 else line())) for i in range(200)]
+    rows += [(1000 + i, page("{{headline}} by ${author} stayed")) for i in range(20)]
+    rows += [(2000 + i, page("“{{headline}}” in the proof")) for i in range(5)]
     rows += [(3000 + i, page(x)) for i, x in enumerate(("he wrote «${author}» there", "a list [1] and {2} and <3", "paid $5 or 7% & more #4"))]
     rows += [(4000, page("one {{title}} was left")), (4001, page("“{{headline}}” was read but {{headline}} stayed"))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
