@@ -27,8 +27,8 @@ from rillwork.runtime import materialize
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: Characters in a block (a longer text is a block of its own).
 BLOCK_CHARS = 4_000_000
-#: Words of a vocabulary partition.
-WORDS_PER_TASK = 400_000
+#: Words of a vocabulary partition, and their bytes.
+WORDS_PER_TASK, BYTES_PER_TASK = 400_000, 4_000_000
 
 # Fixed value: the public pre-tokenization pattern of the vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -197,7 +197,7 @@ def encode(df: DataFrame, id_: str, text: str, vocabulary: str = DEFAULT_VOCABUL
     src = df.select(F.col(id_).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("t"))
     cuts = materialize(src.mapInArrow(cut, "block bigint, doc_id bigint, nums array<int>, num int, word binary"), "cuts")
     dictionary = cuts.where("word is not null").select("block", "num", "word")
-    n_words = dictionary.count()
+    held = dictionary.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("word")), F.lit(0)).alias("size"), F.countDistinct("block").alias("blocks")).first()
 
     ids_schema = pa.schema([("block", pa.int64()), ("num", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
@@ -215,7 +215,8 @@ def encode(df: DataFrame, id_: str, text: str, vocabulary: str = DEFAULT_VOCABUL
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([block.slice(lo, 100_000), num.slice(lo, 100_000), lists], schema=ids_schema)
 
-    tasks = max(1, -(-n_words // WORDS_PER_TASK), min(spark.sparkContext.defaultParallelism, -(-n_words // 20_000)))
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(1, -(-held.n // WORDS_PER_TASK), -(-held.size // BYTES_PER_TASK), min(cores, -(-held.n // 20_000)))
     coded = dictionary.repartition(tasks, "word").mapInArrow(merge, "block bigint, num int, ids array<int>")
 
     out_schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -237,6 +238,9 @@ def encode(df: DataFrame, id_: str, text: str, vocabulary: str = DEFAULT_VOCABUL
         lists = pa.ListArray.from_arrays(pa.array(run[noff - noff[0]].astype(np.int32)), pa.array(flat.astype(np.int32)))
         return pa.table([docs.column("doc_id").combine_chunks(), lists], schema=out_schema)
 
-    texts = cuts.where("word is null").select("block", "doc_id", "nums")
+    # A task for each block: their number grows with the corpus and not their size. A given number is not coalesced.
+    parts = max(1, held.blocks)
+    texts = cuts.where("word is null").select("block", "doc_id", "nums").repartition(parts, "block")
+    coded = coded.repartition(parts, "block")
     out = texts.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(back, "doc_id bigint, ids array<int>")
     return out.withColumnRenamed("doc_id", id_)

@@ -47,17 +47,15 @@ def _join(big: DataFrame, small: DataFrame, on: list[str], hot: DataFrame | None
 
 def _grow(edges: DataFrame, level: int, hot: DataFrame | None) -> DataFrame:
     """``k, v, ck, c``: the centre of every vertex. edges: both directions, ``uk, u, vk, v``."""
-    own = _renamed(edges.select("uk", "u").distinct(), {"uk": "uk", "u": "u"}).select("uk", "u", F.col("uk").alias("vk"), F.col("u").alias("v"), F.lit(0.0).alias("far"))
-    steps = materialize(edges.withColumn("far", F.lit(1.0)).unionByName(own), "steps")
+    own = edges.select("uk", "u").distinct().select("uk", "u", F.col("uk").alias("vk"), F.col("u").alias("v"), F.lit(0.0).alias("far"))
+    steps = edges.withColumn("far", F.lit(1.0)).unionByName(own)  # every step reads the same exchange of it
     best = lambda offers: offers.groupBy("vk", "v").agg(F.max("s").alias("s"), F.max_by("ck", "s").alias("ck"), F.max_by("c", "s").alias("c"))
     # First step: all centres are at their own vertex, so no join is needed.
     lab = best(steps.select("vk", "v", (_shift(F.col("uk"), F.col("u"), level) - F.col("far")).alias("s"), F.col("uk").alias("ck"), F.col("u").alias("c")))
     for _ in range(1, ROUNDS):
         at = _renamed(lab, {"vk": "uk", "v": "u", "s": "s", "ck": "ck", "c": "c"})
         lab = best(_join(steps, at, ["uk", "u"], hot).select("vk", "v", (F.col("s") - F.col("far")).alias("s"), "ck", "c"))
-    out = materialize(_renamed(lab, {"vk": "k", "v": "v", "ck": "ck", "c": "c"}), "assign")
-    release(steps)
-    return out
+    return materialize(_renamed(lab, {"vk": "k", "v": "v", "ck": "ck", "c": "c"}), "assign")
 
 
 def _solve(both: DataFrame, labels: DataFrame) -> DataFrame | None:
@@ -68,8 +66,8 @@ def _solve(both: DataFrame, labels: DataFrame) -> DataFrame | None:
     """
     levels = []
     while not both.isEmpty():
-        hot = materialize(hot_keys(both, ["uk", "u"]), "hot")  # fewer than HOT_SHARE rows
-        hot = None if hot.isEmpty() else hot
+        many = hot_keys(both, ["uk", "u"]).collect()  # fewer than HOT_SHARE rows
+        hot = both.sparkSession.createDataFrame(many, "uk tinyint, u bigint, __hot boolean") if many else None
         assign = _grow(both, len(levels), hot)
         clusters = materialize(assign.join(labels, ["k", "v"], "left").groupBy("ck", "c").agg(F.min("label").alias("label")), "clusters")
         up = _join(both, _renamed(assign, {"k": "uk", "v": "u", "ck": "cuk", "c": "cu"}), ["uk", "u"], hot)

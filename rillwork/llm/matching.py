@@ -3,17 +3,22 @@
 Sorted neighbourhood: every entity enters several composite sort orders (name then place,
 reversed name then place, place strips, shifted place strips), all in one distributed
 sort; entities of the two sources at most WINDOW positions apart are compared. A weighted
-sum of field similarities gives each pair its confidence, and a distributed auction picks
-the one-to-one assignment with the largest total confidence (within EPSILON a pair).
+sum of field similarities gives each pair its confidence. The one-to-one assignment of the
+largest total confidence is exact: pairs that hang together are solved as one group, each in
+one task up to SOLVE_EDGES pairs; larger groups go through a distributed auction (within
+EPSILON a pair).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from rillwork.runtime import materialize, release
+from rillwork.llm import components
+from rillwork.runtime import materialize, release, spread_join
 
 WINDOW = 12
 #: Width of a strip of the place orders, in coordinate units.
@@ -25,7 +30,9 @@ W_NAME, W_PLACE, LEAST = 0.5, 0.5, 0.58
 LEAST_NAME, LEAST_PLACE = 0.6, 0.15
 #: Place similarity from which two ends alone make a match when one side has no name.
 NAMELESS = 0.85
-#: Least raise of a bid. Smaller is closer to the best total and takes more rounds where many want the same.
+#: Largest group of pairs that one task solves.
+SOLVE_EDGES = 2000
+#: Least raise of a bid in larger groups. Smaller is closer to the best total and takes more rounds where many want the same.
 EPSILON = 1e-6
 
 # Words that tell the kind of a watercourse, and letters to their sounds.
@@ -113,20 +120,85 @@ def scored(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     return j.withColumn("confidence", conf).drop("nameless")
 
 
+def best_total(gain: np.ndarray) -> np.ndarray:
+    """Column of each row in the assignment of the largest total gain (shortest augmenting paths); rows <= columns."""
+    n, m = gain.shape
+    row_price, col_price = np.zeros(n), np.zeros(m)
+    owner = np.full(m, -1)
+    for start in range(n):
+        # Cheapest way to a free column, over columns that are taken.
+        far, via = np.full(m, np.inf), np.full(m, -1)
+        open_ = np.ones(m, bool)
+        row, col = start, -1
+        while row >= 0:
+            reach = -gain[row] - row_price[row] - col_price
+            near = open_ & (reach < far)
+            far[near], via[near] = reach[near], col
+            nxt = int(np.where(open_, far, np.inf).argmin())
+            step = far[nxt]
+            row_price[start] += step
+            taken = ~open_
+            row_price[owner[taken]] += step
+            col_price[taken] -= step
+            far[open_] -= step
+            open_[nxt] = False
+            col, row = nxt, int(owner[nxt])
+        while col >= 0:
+            back = int(via[col])
+            owner[col] = owner[back] if back >= 0 else start
+            col = back
+    out = np.full(n, -1)
+    got = owner >= 0
+    out[owner[got]] = np.flatnonzero(got)
+    return out
+
+
+def _solve(group: pa.Table) -> pa.Table:
+    """Best one-to-one choice of the pairs of a group."""
+    l, r, c = (group.column(x).to_pylist() for x in ("l", "r", "confidence"))
+    rows, cols = ({x: i for i, x in enumerate(sorted(set(v)))} for v in (l, r))
+    gain = np.zeros((len(rows), max(len(rows), len(cols))))
+    for x, y, w in zip(l, r, c):
+        gain[rows[x], cols[y]] = w
+    pick = best_total(gain)
+    keep = [(x, y, w) for x, y, w in zip(l, r, c) if pick[rows[x]] == cols[y]]
+    return pa.table({"l": pa.array([x for x, _, _ in keep], pa.string()), "r": pa.array([y for _, y, _ in keep], pa.string()), "confidence": pa.array([w for _, _, w in keep], pa.float64())})
+
+
 def assign(edges: DataFrame) -> DataFrame:
     """One-to-one choice of ``l, r, confidence`` rows with the largest total confidence.
 
-    A distributed auction: every free ``l`` bids for its best ``r`` what it would lose by
-    taking its second best (or nothing) and EPSILON; an ``r`` goes to its highest bidder
-    and the former holder is free again. Ends when no free ``l`` gains by bidding; the total
-    is within EPSILON for each pair of the best one. Ties go to the smaller ids.
+    Strings ``l`` and ``r``; of repeated pairs the most confident counts; pairs without a
+    positive confidence are none. Pairs are grouped by what they hang together with. A group of at most
+    SOLVE_EDGES pairs is solved exactly in one task, the others by :func:`auction`. Ties
+    go to one of the best totals, the same in every run.
     """
-    edges = edges.where("confidence > 0").groupBy("l", "r").agg(F.max("confidence").alias("confidence"))
-    edges = materialize(edges, "edges")
-    # Pairs that nobody else wants need no auction.
+    edges = materialize(edges.where("confidence > 0").groupBy("l", "r").agg(F.max("confidence").alias("confidence")), "edges")
+    # Pairs that nobody else wants need no choice.
     lone = edges.join(edges.groupBy("l").count().where("count = 1").select("l"), "l", "left_semi").join(edges.groupBy("r").count().where("count = 1").select("r"), "r", "left_semi")
-    lone = materialize(lone, "lone")
-    rest = materialize(edges.join(lone, ["l", "r"], "left_anti"), "contested")
+    lone = materialize(lone, "lone").select("l", "r", "confidence")
+    rest = materialize(edges.join(lone, ["l", "r"], "left_anti").withColumn("a", F.xxhash64("l")), "contested")
+    if rest.isEmpty():
+        return lone
+    # Equal hashes only join groups, which harms no result.
+    groups = components.link_groups(rest.select("a", F.xxhash64("r").alias("b")), "a", "b")
+    grouped = spread_join(rest, groups, ["a"])
+    sizes = grouped.groupBy("group_id").count()
+    grouped = materialize(spread_join(grouped, sizes, ["group_id"]).select("l", "r", "confidence", "group_id", "count"), "groups")
+    small = grouped.where(F.col("count") <= SOLVE_EDGES).select("l", "r", "confidence", "group_id").groupBy("group_id").applyInArrow(_solve, "l string, r string, confidence double")
+    large = grouped.where(F.col("count") > SOLVE_EDGES).select("l", "r", "confidence")
+    out = lone.unionByName(small)
+    return out if large.isEmpty() else out.unionByName(auction(materialize(large, "large")))
+
+
+def auction(rest: DataFrame) -> DataFrame:
+    """One-to-one choice of distinct ``l, r, confidence`` rows, within EPSILON for each pair of the largest total.
+
+    Every free ``l`` bids for its best ``r`` what it would lose by taking its second best (or
+    nothing) and EPSILON; an ``r`` goes to its highest bidder and the former holder is free
+    again. Ends when no free ``l`` gains by bidding. Prices begin at nothing, as an ``r`` that
+    stays free must have no price; so there is no run with larger raises before it.
+    """
     held = materialize(rest.select("r").distinct().select("r", F.lit(0.0).alias("price"), F.lit(None).cast("string").alias("l")), "prices")
     retired = None
     while True:
@@ -135,20 +207,20 @@ def assign(edges: DataFrame) -> DataFrame:
         if retired is not None:
             free = free.join(retired, "l", "left_anti")
         net = free.join(held.select("r", "price"), "r").withColumn("net", F.col("confidence") - F.col("price"))
-        top = net.groupBy("l").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("net")).alias("loss"), "r", "price"))), 1, 2).alias("t"))
-        second = F.greatest(F.lit(0.0), F.coalesce(-F.try_element_at("t", F.lit(2))["loss"], F.lit(0.0)))
-        bids = materialize(top.select("l", F.col("t")[0]["r"].alias("r"), (-F.col("t")[0]["loss"]).alias("gain"), (F.col("t")[0]["price"] - F.col("t")[0]["loss"] - second + EPSILON).alias("bid")), "bids")
+        # The best choice, and the best gain among the others; no list of all choices is made.
+        top = net.groupBy("l").agg(F.max(F.struct("net", "r", "price")).alias("t"))
+        second = net.join(top.select("l", F.col("t.r").alias("r")), ["l", "r"], "left_anti").groupBy("l").agg(F.max("net").alias("next"))
+        raised = F.col("t.price") + F.col("t.net") - F.greatest(F.lit(0.0), F.coalesce("next", F.lit(0.0))) + EPSILON
+        bids = materialize(top.join(second, "l", "left").select("l", F.col("t.r").alias("r"), F.col("t.net").alias("gain"), raised.alias("bid")), "bids")
         if bids.isEmpty():
             break
         out = bids.where("gain <= 0").select("l")
         retired = materialize(out if retired is None else retired.unionByName(out).distinct(), "retired")
         won = bids.where("gain > 0").groupBy("r").agg(F.max(F.struct(F.col("bid"), F.col("l"))).alias("w"))
-        after = held.join(won, "r", "left").select("r", F.coalesce("w.bid", "price").alias("price"), F.coalesce("w.l", "l").alias("l"))
-        new = materialize(after, "prices")
+        new = materialize(held.join(won, "r", "left").select("r", F.coalesce("w.bid", "price").alias("price"), F.coalesce("w.l", "l").alias("l")), "prices")
         release(held, bids)
         held = new
-    won = held.where("l is not null").join(rest, ["l", "r"]).select("l", "r", "confidence")
-    return lone.select("l", "r", "confidence").unionByName(won)
+    return held.where("l is not null").join(rest, ["l", "r"]).select("l", "r", "confidence")
 
 
 def match_watercourses(waterways: DataFrame, relations: DataFrame, ways: DataFrame, linked: bool = False) -> DataFrame:
@@ -156,8 +228,7 @@ def match_watercourses(waterways: DataFrame, relations: DataFrame, ways: DataFra
 
     Returns ``id, rel_osm_id, confidence``, one-to-one. All rows of an id or relation are
     joined into one entity: every spelling of its names, every known end. Relations that
-    an ``osm_id`` names already are left out, and so are relations tagged with another
-    watercourse's identifier. Entities without a place match nothing; one without a name
+    an ``osm_id`` names already are left out. Entities without a place match nothing; one without a name
     only when both of its ends agree.
     ``linked`` matches the watercourses that have an ``osm_id`` instead (to measure
     against the known links). Null ids, null names and null or empty geometries are skipped.
@@ -190,7 +261,6 @@ def entities(waterways: DataFrame, relations: DataFrame, ways: DataFrame, linked
     r = rel.select("rel_osm_id").distinct()
     if not linked:
         r = r.join(known, "rel_osm_id", "left_anti")
-        r = r.join(rel.where(F.map_contains_key(tags, F.lit("wikidata"))).select("rel_osm_id").distinct(), "rel_osm_id", "left_anti")
     r = r.join(all_names, "rel_osm_id", "left").join(pts, "rel_osm_id", "left").select(
         F.col("rel_osm_id").alias("id"), F.coalesce(names(F.col("n")), F.array().cast("array<string>")).alias("names"),
         F.coalesce(F.when(F.size("outer") > 0, F.col("outer")), F.col("all"), F.array().cast(pts.schema["all"].dataType)).alias("points"))
