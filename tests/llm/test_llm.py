@@ -311,7 +311,7 @@ def contested(rnd):
     return edges | {("lone", "r"): 0.7, ("tie1", "t"): 0.8, ("tie2", "t"): 0.8} | {(f"s{i}", f"t{j}"): 0.9 for i in range(4) for j in range(3)}
 
 
-def test_assignment_is_optimal(spark):
+def test_assignment_is_optimal(spark, monkeypatch):
     edges = contested(random.Random(4))
     df = spark.createDataFrame([(a, b, c) for (a, b), c in edges.items()] * 2, "l string, r string, confidence double")
     got = matching.assign(df).collect()
@@ -319,6 +319,8 @@ def test_assignment_is_optimal(spark):
     groups = [{k: c for k, c in edges.items() if k[0].startswith(p)} for p in ("l0", "l1", "l2", "l3", "lone", "tie", "s")]
     assert abs(sum(r.confidence for r in got) - sum(map(best_total, groups))) < 1e-9
     assert matching.assign(df.limit(0)).count() == 0
+    monkeypatch.setattr(matching, "SOLVE_EDGES", 16)  # group by group
+    assert abs(sum(r.confidence for r in matching.assign(df).collect()) - sum(map(best_total, groups))) < 1e-9
 
 
 def test_auction_of_large_groups(spark, monkeypatch):
