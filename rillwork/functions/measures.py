@@ -130,6 +130,26 @@ def rings(lines: list) -> list[np.ndarray]:
     return out
 
 
+def polygons(lines: list) -> list[list[np.ndarray]]:
+    """Polygons of a boundary by even-odd nesting: each an outer ring and the holes right inside it; open rings are left out."""
+    rs = sorted((r for r in rings(lines) if len(r) > 3 and (r[0] == r[-1]).all()), key=lambda r: -abs(ring_area(r[:-1])))
+    # A ring lies in another one when its first point that isn't on it does; larger rings come first.
+    holders = [[j for j in range(i) if _holds(rs[j], r)] for i, r in enumerate(rs)]
+    out: dict[int, list[np.ndarray]] = {}
+    for i, r in enumerate(rs):
+        if len(holders[i]) % 2 == 0:
+            out[i] = [r]
+        else:
+            out[[j for j in holders[i] if j in out][-1]].append(r)
+    return list(out.values())
+
+
+def _holds(ring: np.ndarray, other: np.ndarray) -> bool:
+    on = {tuple(p) for p in ring.tolist()}
+    free = [p for p in other.tolist() if tuple(p) not in on] or ((other[:-1] + other[1:]) / 2).tolist()
+    return bool(_inside(np.array(free[:1], float), ring)[0])
+
+
 def polygon_area(lines: list) -> float:
     """Area inside a boundary by even-odd nesting of its rings, square metres."""
     rs = [r for r in rings(lines) if len(r) > 3]

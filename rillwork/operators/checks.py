@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rillwork.functions import geom, measures, tags
 from rillwork.operators.network import SIDE, with_ends
 from rillwork.operators.proximity import _cell, segment_cells
+from rillwork.runtime import spread_join
 
 MAJOR = ("river", "canal")
 
@@ -64,7 +65,8 @@ def wrong_direction(ways: DataFrame, agg: DataFrame) -> DataFrame:
 def rank_errors(ways: DataFrame, stats: DataFrame, agg: DataFrame) -> DataFrame:
     """Minor ways that go on where only major ones end: ``way_osm_id, tags, geom, in_pnt``; repeats are kept."""
     busy = agg.where("`end` > 0 and (mid > 0 or str > 0)").select("pnt_osm_id")
-    t = stats.join(busy, "pnt_osm_id").join(with_ends(ways), "way_osm_id").select("pnt_osm_id", "way_osm_id", "tags", "geom", "end_node")
+    # A way may hold a tenth of all rows.
+    t = spread_join(stats.join(busy, "pnt_osm_id"), with_ends(ways), ["way_osm_id"]).select("pnt_osm_id", "way_osm_id", "tags", "geom", "end_node")
     major = tags.tag("waterway").isin(*MAJOR)
     wi = t.where((F.col("end_node") == F.col("pnt_osm_id")) & major).select("pnt_osm_id", F.col("way_osm_id").alias("in_id"), geom.end_point(F.col("geom")).alias("in_pnt"))
     wo = t.where(F.col("end_node") != F.col("pnt_osm_id"))
@@ -79,7 +81,7 @@ def missing_segments(ways: DataFrame, areas: DataFrame, stats: DataFrame, agg: D
     """
     one_sided = agg.where("bnk > 0 and cst = 0 and ((str > 0 and `end` = 0) or (`end` > 0 and str = 0))").select("pnt_osm_id")
     lakes = areas.where(F.coalesce(tags.tag("water"), F.lit("")) != "river").select(F.col("way_osm_id").alias("wa_osm_id"), "boundary")
-    pts = stats.where("type = 'bnk'").join(one_sided, "pnt_osm_id").select("pnt_osm_id", F.col("way_osm_id").alias("wa_osm_id")).join(lakes.select("wa_osm_id"), "wa_osm_id")
+    pts = spread_join(stats.where("type = 'bnk'").join(one_sided, "pnt_osm_id").select("pnt_osm_id", F.col("way_osm_id").alias("wa_osm_id")), lakes.select("wa_osm_id"), ["wa_osm_id"])
     net = with_ends(ways.where(tags.is_waterway()))
     out = pts.join(net, F.col("start_node") == F.col("pnt_osm_id")).select("wa_osm_id", F.col("way_osm_id").alias("out_osm_id"), geom.start_point(F.col("geom")).alias("po"))
     inn = pts.join(net, F.col("end_node") == F.col("pnt_osm_id")).select("wa_osm_id", F.col("way_osm_id").alias("in_osm_id"), geom.end_point(F.col("geom")).alias("pi"))

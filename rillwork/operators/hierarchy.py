@@ -92,10 +92,21 @@ def hierarchy(links: DataFrame, split: int = SPLIT) -> DataFrame:
     full = anchors.unionByName(ordinary.where("state = 'cycle'").select("id", "seg", "state")).unionByName(
         lower.select("id", F.concat("head", "seg").alias("seg"), F.col("above").alias("state")))
     full = materialize(full, "paths")
-    release(nodes, pieces, anchors)
+
+    # Phase 4: descendants. A stop stands for itself and the nodes that hang on it; its subtree's size is the sum
+    # over the stops below it, and goes to the ordinary nodes of the piece above it in one number.
+    # So only pieces are unfolded, and the paths of stops to their stops.
+    above = F.slice("seg", F.lit(1), F.size("seg") - 1)
+    hung = materialize(ordinary.where("state = 'stop'").select("ptr", above.alias("above")), "hung")
+    weight = hung.groupBy(F.col("ptr").alias("id")).agg(F.count("*").alias("n"))
+    chain = F.concat(F.slice("seg", 1, 1), F.filter(F.slice("seg", F.lit(2), F.greatest(F.size("seg") - 1, F.lit(0))), is_split))
+    size = anchors.where("state = 'stop'").join(weight, "id", "left").select(F.explode(chain).alias("id"), (F.coalesce("n", F.lit(0)) + 1).alias("n"))
+    size = materialize(size.groupBy("id").agg(F.sum("n").alias("n")), "sizes")
     below = (
-        full.where("state = 'stop'").select(F.explode(F.slice("seg", F.lit(1), F.size("seg") - 1)).alias("id"))
-        .groupBy("id").agg(F.count("*").alias("n_descendants"))
+        hung.select(F.explode("above").alias("id"), F.lit(1).cast("bigint").alias("n"))
+        .unionByName(pieces.select("id", above.alias("above")).join(size, "id").select(F.explode("above").alias("id"), "n"))
+        .unionByName(size.select("id", (F.col("n") - 1).alias("n")))
+        .groupBy("id").agg(F.sum("n").alias("n_descendants"))
     )
     ok = F.col("state") == "stop"
     return full.join(below, "id", "left").select(

@@ -49,11 +49,10 @@ def route_relations(relations: DataFrame) -> DataFrame:
     return _cleaned(relations).where(tags.tag("type", "raw_tags") == "waterway").select(F.col("id").alias("rel_osm_id"), "tags", "members")
 
 
-@measures.arrow_udf("array<array<struct<x:bigint,y:bigint>>>")
-def _rings(lines: list) -> list:
+@measures.arrow_udf("array<array<array<struct<x:bigint,y:bigint>>>>")
+def _polygons(lines: list) -> list:
     def one(ls: list | None) -> list | None:
-        got = [r for r in measures.rings(ls or []) if len(r) > 3 and (r[0] == r[-1]).all()]
-        return [[{"x": int(x), "y": int(y)} for x, y in r] for r in got] or None
+        return [[[{"x": int(x), "y": int(y)} for x, y in r] for r in p] for p in measures.polygons(ls or [])] or None
 
     return [one(ls) for ls in lines]
 
@@ -61,13 +60,13 @@ def _rings(lines: list) -> list:
 def relation_areas(relations: DataFrame, lines: DataFrame) -> DataFrame:
     """Multipolygon relations of water as areas: negative id, null nodes, rings put together from their ways.
 
-    relations: ``id, tags, members``; lines: ``id, geom``. Every closed ring is a polygon of its
-    own; relations without a closed ring are dropped.
+    relations: ``id, tags, members``; lines: ``id, geom``. Rings are nested by what lies in what
+    (even-odd), whatever the members' roles: ``geom`` has the polygons, each with its outer ring
+    first and its holes behind; relations without a closed ring are dropped.
     """
     kind = (tags.tag("type", "raw_tags") == "multipolygon") & (tags.tag("natural", "raw_tags").isin("water", "wetland") | (tags.tag("landuse", "raw_tags") == "reservoir"))
     r = _cleaned(relations).where(kind)
     m = r.select("id", F.explode("members").alias("m")).where("m.type = 'way'").select("id", F.col("m.ref").alias("way"))
     g = m.distinct().join(lines.select(F.col("id").alias("way"), "geom").where("geom is not null"), "way").groupBy("id").agg(F.array_sort(F.collect_list("geom")).alias("ls"))
-    rings = g.select("id", _rings("ls").alias("rings")).where("rings is not null")
-    return r.select("id", "tags").join(rings, "id").select(
-        (-F.col("id")).alias("way_osm_id"), "tags", F.lit(None).cast("array<bigint>").alias("nodes"), F.transform("rings", lambda x: F.array(x)).alias("geom"))
+    shapes = g.select("id", _polygons("ls").alias("geom")).where("geom is not null")
+    return r.select("id", "tags").join(shapes, "id").select((-F.col("id")).alias("way_osm_id"), "tags", F.lit(None).cast("array<bigint>").alias("nodes"), "geom")

@@ -42,12 +42,32 @@ def tile_of(p: Column, zoom: Column | int) -> Column:
     return F.struct(z.alias("z"), tx.alias("x"), ty.alias("y"), F.floor((fx - tx) * EXTENT).cast("int").alias("px"), F.floor((fy - ty) * EXTENT).cast("int").alias("py"))
 
 
+def _crossed(seg: Column, z: Column) -> Column:
+    """Tiles ``x, y`` of a zoom that a segment passes: for each column of tiles the rows between its two crossings."""
+    n = F.pow(F.lit(2.0), z)
+    world = 2 * 3.141592653589793 * geom.EARTH
+    a, b = geom.mercator(seg["a"]), geom.mercator(seg["b"])
+    x1, y1, x2, y2 = (a["x"] / world + 0.5) * n, (0.5 - a["y"] / world) * n, (b["x"] / world + 0.5) * n, (0.5 - b["y"] / world) * n
+    tile = lambda v: F.least(F.greatest(F.floor(v), F.lit(0)), n.cast("bigint") - 1)
+    left, right = F.least(x1, x2), F.greatest(x1, x2)
+    slope = (y2 - y1) / F.nullif(x2 - x1, F.lit(0.0))
+
+    def column(x: Column) -> Column:
+        ya = F.coalesce(y1 + (F.greatest(left, x.cast("double")) - x1) * slope, y1)
+        yb = F.coalesce(y1 + (F.least(right, x + F.lit(1.0)) - x1) * slope, y2)
+        return F.transform(F.sequence(tile(F.least(ya, yb)), tile(F.greatest(ya, yb))), lambda y: F.struct(x.alias("x"), y.alias("y")))
+
+    return F.flatten(F.transform(F.sequence(tile(left), tile(right)), column))
+
+
 def line_layer(ways: DataFrame, err_all: DataFrame, zooms=LAYERS["water_lines"]) -> DataFrame:
-    """Features of the line layer: ``id, type, name, errs, z, x, y``, one row for each tile a vertex lies in."""
-    w = ways.where(F.col("geom").isNotNull()).join(err_all.select(F.col("osm_id").alias("way_osm_id"), F.array_join("err_ids", ",").alias("errs")), "way_osm_id", "left")
+    """Features of the line layer: ``id, type, name, errs, z, x, y``, one row for each tile the line passes."""
+    w = ways.where(F.size("geom") > 0).join(err_all.select(F.col("osm_id").alias("way_osm_id"), F.array_join("err_ids", ",").alias("errs")), "way_osm_id", "left")
     f = w.select(F.col("way_osm_id").alias("id"), line_type().alias("type"), tags.tag("name").alias("name"), "errs", "geom").where("type is not null")
-    z = f.withColumn("z", F.explode(F.array(*[F.lit(i) for i in zooms])))
-    t = z.withColumn("t", F.explode(F.array_distinct(F.transform("geom", lambda p: F.struct(tile_of(p, F.col("z"))["x"].alias("x"), tile_of(p, F.col("z"))["y"].alias("y"))))))
+    p = F.col("geom")[0]
+    parts = F.coalesce(geom.segments(F.col("geom")), F.array(F.struct(p.alias("a"), p.alias("b"))))
+    z = f.withColumn("parts", parts).withColumn("z", F.explode(F.array(*[F.lit(i) for i in zooms])))
+    t = z.withColumn("t", F.explode(F.array_distinct(F.flatten(F.transform("parts", lambda s: _crossed(s, F.col("z")))))))
     return t.select("id", "type", "name", "errs", "z", F.col("t.x").alias("x"), F.col("t.y").alias("y"))
 
 

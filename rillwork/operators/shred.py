@@ -91,6 +91,8 @@ def events(text: str) -> Iterator[tuple[str, str | None]]:
 def triples(text: str, lists: dict[str, str], maps: frozenset[str]) -> list[tuple[str, str, str, str | None]]:
     """``(grp, path, field, value)`` of one record; ValueError for invalid JSON.
 
+    The record's own fields have an empty group and the path ``0``.
+
     lists: key of a repeated child and the key of a wrapper that may stand around its
     elements; the same keys may repeat at any depth. maps: keys of open key-value
     maps, given as an object, as a list of ``k``/``v`` objects or as encoded text. A
@@ -110,6 +112,8 @@ def triples(text: str, lists: dict[str, str], maps: frozenset[str]) -> list[tupl
                 stack.pop()
                 if k == "rec" and grp and not top[4]:
                     out.append((grp, path, "", None))
+                if k == "pair" and "k" in top[4]:
+                    out.append((grp, path, top[4]["k"], top[4].get("v")))
                 continue
             if kind == "k":
                 top[3] = value
@@ -120,8 +124,8 @@ def triples(text: str, lists: dict[str, str], maps: frozenset[str]) -> list[tupl
             place = _place(top, lists, wrappers, maps)
             path = top[2]
             if place[0] == "field":
-                if not opens and grp:
-                    out.append((grp, path, top[3], value))
+                if not opens:
+                    out.append((grp, path or "0", top[3], value))
                     top[4] = True
             elif place[0] == "list":
                 _, g, p = place
@@ -150,9 +154,9 @@ def triples(text: str, lists: dict[str, str], maps: frozenset[str]) -> list[tupl
             elif place[0] == "entry":
                 out.append((grp, path, top[3], value))
             elif place[0] == "pairs" and kind == "{":
-                nxt = ["pair", grp, path, None, False]
-            elif place[0] == "pair" and top[3] in ("k", "key") and kind in "sn":
-                out.append((grp, path, value, None))
+                nxt = ["pair", grp, path, None, {}]
+            elif place[0] == "pair" and kind in "sn":
+                top[4].setdefault("k" if top[3] in ("k", "key") else "v" if top[3] in ("v", "value") else "", value)
             if opens:
                 stack.append(nxt)
 

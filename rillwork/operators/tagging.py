@@ -10,9 +10,9 @@ from rillwork.functions.tags import ABBREVIATIONS, AREA_ABBREVIATIONS, abbreviat
 
 # Codes of areas by their waterway value.
 AREA_WATERWAY = {
-    "bog": "6-15", "tidal": "6-16", "wetland": "6-17", "riverbank": "6-18", "pond": "6-19", "lake": "6-20", "canal": "6-21", "reservoir": "6-22",
+    "rapids": "6-12", "bog": "6-15", "tidal": "6-16", "wetland": "6-17", "riverbank": "6-18", "pond": "6-19", "lake": "6-20", "canal": "6-21", "reservoir": "6-22",
     "oxbow": "6-23", "water_point": "6-24", "pressurised": "6-25", "river": "6-26", "pumping_station": "6-27", "drain": "6-30", "weir": "6-31",
-    "brook": "6-32", "waterfall": "6-33", "lock_gate": "6-34", "rapids": "6-12",
+    "brook": "6-32", "waterfall": "6-33", "lock_gate": "6-34",
 }
 ISLAND_AREA = 1000.0
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillwork.functions.keys import bare_number, bare_qid
 from rillwork.operators import hierarchy, proximity, references, shred
+from rillwork.runtime import materialize
 
 RADIUS = 1500
 
@@ -62,7 +63,8 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _raw_triples(spark: SparkSession, d: str) -> DataFrame:
-    return shred.shred(table(spark, d, "raw_relations"), "record_id", "payload", {"members": "member"}, {"tags"})
+    """Triples of all payloads; each payload is parsed once."""
+    return materialize(shred.shred(table(spark, d, "raw_relations"), "record_id", "payload", {"members": "member"}, {"tags"}), "triples")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -218,8 +218,8 @@ def g21_area_centres(spark: SparkSession, d: str) -> DataFrame:
 
 
 def k6_line_layer(spark: SparkSession, d: str) -> DataFrame:
-    none = spark.createDataFrame([], "osm_id bigint, err_ids array<string>")
-    return publish.line_layer(ways_of(spark, d), none).drop("errs")
+    """Every river, canal, stream, drain and ditch with its findings, for each tile it passes."""
+    return publish.line_layer(ways_of(spark, d), consolidate.consolidate(_relational(spark, d)))
 
 
 def k6_point_layer(spark: SparkSession, d: str) -> DataFrame:

@@ -8,6 +8,7 @@ executor costs a re-read and no recomputation of earlier rounds.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -46,9 +47,12 @@ def session(master: str = "local[*]", partitions: int = 8, **conf: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; only an unset one (tests) gets a local default."""
+    """Folder of ``spark.checkpoint.dir``. Unset, it gets a local default where all tasks run in one process
+    (tests); on several machines a local folder would lose rows, so there the call is refused."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="rillwork-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/rillwork-{_RUN}"

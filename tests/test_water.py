@@ -158,6 +158,16 @@ def test_ingest(spark):
     assert ids(ingest.route_relations(rels), "rel_osm_id") == [7]
 
 
+def test_multipolygons_with_holes(spark):
+    ring = lambda a, b: xy((a, a), (b, a), (b, b), (a, b), (a, a))
+    lines = spark.createDataFrame([(1, ring(0, 100)), (2, ring(10, 40)), (3, ring(20, 30)), (4, ring(50, 90)), (5, ring(200, 300)), (6, xy((0, 0), (9, 9)))], f"id long, geom array<{P}>")
+    m = [{"type": "way", "ref": r, "role": ""} for r in (6, 5, 4, 3, 2, 1)]
+    rels = spark.createDataFrame([(9, {"type": "multipolygon", "natural": "water"}, m), (10, {"type": "multipolygon", "natural": "water"}, m[:1])], "id long, tags map<string,string>, members array<struct<type:string,ref:long,role:string>>")
+    got = ingest.relation_areas(rels, lines).collect()
+    assert [r.way_osm_id for r in got] == [-9]
+    assert sorted([sorted(min(p.x for p in ring) for ring in poly) for poly in got[0].geom]) == [[0, 10, 50], [20], [200]]
+
+
 def test_knowledge(spark, tmp_path):
     f = tmp_path / "w.csv"
     e = knowledge.ENTITY
@@ -205,6 +215,9 @@ def test_publish(spark):
     none = spark.createDataFrame([(1, ["3", "5"])], "osm_id long, err_ids array<string>")
     got = publish.line_layer(w, none).collect()
     assert {(r.id, r.type, r.errs) for r in got} == {(1, "rt", "3,5")} and {r.z for r in got} == {6, 7, 8, 9}
+    far = spark.createDataFrame([way(5, "river", [], [(0, 10**7), (300_000_000, 10**7)]), way(6, "river", [], [(5, 5)])], WAY)
+    tiles = publish.line_layer(far, none).where("z = 6").collect()
+    assert sorted(r.x for r in tiles if r.id == 5) == [32, 33, 34, 35, 36, 37] and [(r.x, r.y) for r in tiles if r.id == 6] == [(32, 31)]
     v = publish.error_table_view(w).orderBy("way_osm_id").collect()[0]
     assert list(v.bbox) == [0.0, 1e-7, 1e-7, 0.0] and list(v.osm_ids) == [1] and v.link == "way/1"
 
